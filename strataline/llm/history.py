@@ -124,19 +124,27 @@ def similar_pairs(stored: DataFrame, asked: DataFrame, threshold: float = THRESH
     return both.where(distance <= total * ((1 - threshold) / (1 + threshold)) + 1e-9).select("stored", "asked")
 
 
-def known_samples(corpus: DataFrame, dedup_index: DataFrame) -> DataFrame:
-    """One row per sample with its features: from the index where it is held there, else from its text.
+def _status(corpus: DataFrame) -> DataFrame:
+    """(seq, scope, batch_no, status, text) of the corpus rows that have a key."""
+    return corpus.where("seq is not null").select("seq", "scope", "batch_no", F.lower(F.trim("status")).alias("status"), "text")
 
-    Rejected samples are left out. (seq, scope, batch_no, pending, guard, normalized_hash, chars, shingles)
+
+def known_samples(corpus: DataFrame, dedup_index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per sample that is not rejected, without its shingles, and the shingles by ``seq``.
+
+    Features come from the index where a sample is held there, else they are made from its text, once.
+    (seq, scope, batch_no, pending, guard, normalized_hash, chars), (seq, shingles)
     """
-    samples = corpus.where("seq is not null").select("seq", "scope", "batch_no", F.lower(F.trim("status")).alias("status"), "text")
-    held = dedup_index.where("seq is not null").select("seq", "scope", "guard", "normalized_hash", "chars", "shingles", "batch_no")
+    samples = _status(corpus)
+    held = dedup_index.where("seq is not null")
     status = samples.groupBy("seq").agg(F.min("status").alias("status"))
-    indexed = held.join(status, "seq", "left").where("status is null or status <> 'rejected'")
     columns = ["seq", "scope", "batch_no", (F.coalesce("status", F.lit("accepted")) == "pending").alias("pending")]
-    from_index = indexed.select(*columns, "guard", "normalized_hash", "chars", "shingles")
+    indexed = held.select("seq", "scope", "batch_no", "guard", "normalized_hash", "chars").join(status, "seq", "left")
     missing = samples.where("status is null or status <> 'rejected'").join(held.select("seq"), "seq", "left_anti").dropDuplicates(["seq"])
-    return from_index.unionByName(stage(features(missing.select(*columns, "text"))))
+    made = stage(features(missing.select(*columns, "text")))
+    light = ["guard", "normalized_hash", "chars"]
+    known = indexed.where("status is null or status <> 'rejected'").select(*columns, *light).unionByName(made.select("seq", "scope", "batch_no", "pending", *light))
+    return known, held.select("seq", "shingles").unionByName(made.select("seq", "shingles"))
 
 
 def duplicates_of_pending(corpus: DataFrame, dedup_index: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -144,28 +152,18 @@ def duplicates_of_pending(corpus: DataFrame, dedup_index: DataFrame, threshold:
 
     A sample without scope, batch or text matches nothing. Repeated rows count once.
     """
-    samples = known_samples(corpus, dedup_index).where("scope is not null and batch_no is not null and guard is not null")
-    grp = F.xxhash64("scope", "guard").alias("grp")
-    pending_groups = samples.where("pending").select("scope", "guard").distinct()
-    # Only groups of scope and guard that hold a pending sample can give a pair.
-    samples = stage(
-        samples.join(pending_groups, ["scope", "guard"], "left_semi").select(
-            "seq", "batch_no", "pending", grp, "scope", "guard", "normalized_hash", "chars",
-            F.when(F.col("chars") >= LEAST_CHARS, F.col("shingles")).alias("shingles"),
-        )
-    )
+    known, sets = known_samples(corpus, dedup_index)
+    samples = stage(known.where("scope is not null and batch_no is not null and guard is not null").dropDuplicates(["seq"]))
     key = ["scope", "guard", "normalized_hash"]
-    classes = stage(
-        samples.groupBy(*key, "grp").agg(
-            F.min("seq").alias("rep"), F.max("pending").alias("asked"),
-            F.min("batch_no").alias("first"), F.max(F.when(F.col("pending"), F.col("batch_no"))).alias("last"),
-        )
-    )
-    members = samples.select("seq", "batch_no", "pending", *key).join(classes.select(*key, "rep"), key).select("seq", "batch_no", "pending", "rep")
-    sets = samples.where("shingles is not null").join(classes.select(F.col("rep").alias("seq"), "asked", "first", "last"), "seq")
-    reps = stage(sets.select(F.col("seq").alias("rep"), "grp", "shingles", "asked"))
+    classes = stage(samples.groupBy(*key).agg(F.min("seq").alias("rep"), F.max("pending").alias("asked"), F.max("chars").alias("chars")))
+    # Only where a group of scope and guard holds a pending sample and a second text, sets need to be compared.
+    long = classes.where(F.col("chars") >= LEAST_CHARS)
+    open_groups = long.groupBy("scope", "guard").agg(F.count(F.lit(1)).alias("n"), F.max("asked").alias("any")).where("n > 1 and any").select("scope", "guard")
+    compared = long.join(open_groups, ["scope", "guard"], "left_semi").select(F.col("rep").alias("seq"), F.xxhash64("scope", "guard").alias("grp"), "asked")
+    reps = stage(sets.join(compared, "seq").select(F.col("seq").alias("rep"), "grp", "asked", "shingles"))
     near = similar_pairs(reps, reps.where("asked"), threshold)
     links = near.unionByName(classes.where("asked").select(F.col("rep").alias("stored"), F.col("rep").alias("asked")))
+    members = samples.select("seq", "batch_no", "pending", *key).join(classes.select(*key, "rep"), key).select("seq", "batch_no", "pending", "rep")
     a = members.select(F.col("rep").alias("stored"), F.col("seq").alias("seq_a"), F.col("batch_no").alias("batch_a"))
     b = members.where("pending").select(F.col("rep").alias("asked"), F.col("seq").alias("seq_b"), F.col("batch_no").alias("batch_b"))
     return links.join(b, "asked").join(a, "stored").where("batch_a < batch_b").select("seq_a", "seq_b")
