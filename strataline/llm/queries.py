@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import budget, crossing, groups, history, leakage, mixing, pieces
+from . import budget, crossing, groups, history, leakage, mixing, pieces, repair, stuffing
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -62,6 +62,17 @@ def p4_samples(spark: SparkSession, d: str) -> DataFrame:
     return _samples(spark, d)
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks with damage, by kind."""
+    return repair.damage(read_table(spark, d, "chunks"))
+
+
+def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """The repaired text of every chunk and the kinds of damage it had."""
+    out = repair.repaired_chunks(read_table(spark, d, "chunks"))
+    return out.withColumn("damage", F.concat_ws(",", "damage"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of an evaluation sample and a same or near-same training sample."""
     return crossing.crossing_pairs(read_table(spark, d, "corpus"))
@@ -97,11 +108,26 @@ def p8_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
 
 
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    return stuffing.page_scores(read_table(spark, d, "documents"), stuffing.prose_sample(read_table(spark, d, "corpus")))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pages stuffed with keywords, links or product tags."""
+    return _scores(spark, d).where("stuffed").select("doc_id").distinct()
+
+
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The scores of every page."""
+    return _scores(spark, d)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         p1_found, p1_splits, p1_chunk_splits, p2_found, p2_pieces, p3_found, p4_found, p4_totals, p4_samples,
-        p6_found, p6_report, p7_found, p7_leaks, p8_found, p8_report, p8_mix,
+        p5_found, p5_repaired, p6_found, p6_report, p7_found, p7_leaks, p8_found, p8_report, p8_mix,
+        p9_found, p9_scores,
     )
 }
 
