@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Queries of one block of a vector search.
+QUERY_BLOCK = 4096
+
 
 def largest_remainder(weights: DataFrame, key: str, weight: str, total: int) -> DataFrame:
     """(key, quota): ``total`` shared by weight; units left over go by the largest fraction, then by key.
@@ -51,27 +54,33 @@ def top_by_similarity(queries: DataFrame, items: DataFrame, k: int, key: str = "
     import numpy as np
     import pandas as pd
 
-    rows = queries.where(F.col(vector).isNotNull()).select(key, vector).collect()  # the stated query set
-    ids = np.array([r[0] for r in rows], np.int64)
-    matrix = np.array([r[1] for r in rows], np.float64).reshape(len(rows), -1)
-    matrix = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-30)
-
-    def best(batches):
-        for pdf in batches:
-            if not len(pdf) or not len(ids):
-                continue
-            x = np.stack(pdf[vector].to_numpy()).astype(np.float64)
-            norm = np.linalg.norm(x, axis=1)
-            x, own = x[norm > 0] / norm[norm > 0, None], pdf[key].to_numpy(np.int64)[norm > 0]
-            s = matrix @ x.T
-            s[ids[:, None] == own[None, :]] = -np.inf
-            m = min(k, s.shape[1])
-            if not m:
-                continue
-            order = np.lexsort((np.broadcast_to(own, s.shape), -s.round(12)), axis=1)[:, :m]
-            yield pd.DataFrame({"query_id": np.repeat(ids, m), "item_id": own[order].ravel(), "similarity": np.take_along_axis(s, order, 1).ravel()})
-
-    local = items.where(F.col(vector).isNotNull()).select(key, vector).mapInPandas(best, "query_id bigint, item_id bigint, similarity double")
+    asked = queries.where(F.col(vector).isNotNull()).select(key, vector)
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    known = items.where(F.col(vector).isNotNull()).select(key, vector)
+    local = None
+    for block in range(blocks):
+        rows = asked.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == block).collect()  # about QUERY_BLOCK rows
+        ids = np.array([r[0] for r in rows], np.int64)
+        matrix = np.array([r[1] for r in rows], np.float64).reshape(len(rows), -1)
+        norms = np.linalg.norm(matrix, axis=1) if len(rows) else np.zeros(0)
+        ids, matrix = ids[norms > 0], matrix[norms > 0] / norms[norms > 0, None]
+
+        def best(batches, ids=ids, matrix=matrix):
+            for pdf in batches:
+                if not len(pdf) or not len(ids):
+                    continue
+                x = np.stack(pdf[vector].to_numpy()).astype(np.float64)
+                norm = np.linalg.norm(x, axis=1)
+                x, own = x[norm > 0] / norm[norm > 0, None], pdf[key].to_numpy(np.int64)[norm > 0]
+                s = matrix @ x.T
+                s[ids[:, None] == own[None, :]] = -np.inf
+                m = min(k, s.shape[1])
+                if m:
+                    order = np.lexsort((np.broadcast_to(own, s.shape), -s.round(12)), axis=1)[:, :m]
+                    yield pd.DataFrame({"query_id": np.repeat(ids, m), "item_id": own[order].ravel(), "similarity": np.take_along_axis(s, order, 1).ravel()})
+
+        part = known.mapInPandas(best, "query_id bigint, item_id bigint, similarity double")
+        local = part if local is None else local.unionByName(part)
     w = Window.partitionBy("query_id").orderBy(F.desc(F.round("similarity", 12)), "item_id")
     return local.where(F.col("similarity") > float("-inf")).withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
