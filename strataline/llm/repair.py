@@ -280,7 +280,7 @@ def line_features(line: str, before: str, after: str, place: str, page: int | No
     rest = "" if numbered else " ".join(p for p in parts if p is not number) if number else s
     if not number and (s[0].islower() or s[0] in "-–—•*·“\"'("):
         return None
-    if not number and any(c in s for c in "，。；"):
+    if not number and (any(c in s for c in "，。；") or s[-1] in "-‐¬­"):
         return None
     digits = [int(x) for x in re.findall(r"\d{1,4}", number)]
     words = re.findall(r"[^\W\d_]+", rest)
