@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import collapsed
 from ..plans.stage import stage
 
 
-def shingle_hashes(text: Column, size: int = 5) -> Column:
-    """Distinct hashes of the runs of ``size`` words; a shorter text is one run."""
-    words = F.split(collapsed(text), " ")
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - size + 1, F.lit(1))), lambda i: F.xxhash64(F.concat_ws(" ", F.slice(words, i, size))))
-    return F.array_distinct(runs)
+def with_shingles(df: DataFrame, text: str, size: int = 5) -> DataFrame:
+    """Replaces ``text`` by ``s``, the distinct hashes of its runs of ``size`` words; a shorter text is one run.
+
+    The words are a column of their own: inside the lambda the split would run once for every shingle.
+    """
+    words = df.withColumn("_w", F.split(collapsed(F.col(text)), " ")).drop(text)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - size + 1, F.lit(1))), lambda i: F.xxhash64(F.concat_ws(" ", F.slice("_w", i, size))))
+    return words.withColumn("s", F.array_distinct(runs)).drop("_w")
 
 
 def similar_texts(texts: DataFrame, key: str, threshold: float = 0.8, size: int = 5) -> DataFrame:
@@ -22,7 +25,7 @@ def similar_texts(texts: DataFrame, key: str, threshold: float = 0.8, size: int
     Rows must differ in text (see near_duplicate_classes). Shingles are ordered by their frequency over all rows;
     two similar sets share one of the rarest, so only the prefix that must hold it is joined. Exact, no cap.
     """
-    sets = stage(texts.select(F.col(key).alias("k"), shingle_hashes(F.col("text"), size).alias("s")))
+    sets = stage(with_shingles(texts.select(F.col(key).alias("k"), "text"), "text", size))
     long = sets.select("k", F.size("s").alias("n"), F.explode("s").alias("h"))
     # A shingle of one row joins nothing, but it takes a place in the order.
     frequency = long.groupBy("h").agg(F.count(F.lit(1)).alias("f"))

@@ -46,9 +46,9 @@ def numeric_guard_signature(spark: SparkSession, d: str) -> DataFrame:
 def unmatched_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Numbers of a sample that the first sample of its work does not hold."""
     rows = read_table(spark, d, "corpus").select("seq", "text", "work_uid").distinct()
-    base = rows.groupBy("work_uid").agg(F.min_by("text", "seq").alias("base"))
+    base = rows.groupBy("work_uid").agg(F.min_by("text", "seq").alias("base")).select("work_uid", T.numbers(F.col("base")).alias("base"))
     own = T.numbers(F.col("text"))
-    missing = F.array_sort(F.filter(own, lambda x: ~F.array_contains(T.numbers(F.col("base")), x)))
+    missing = F.array_sort(F.filter(own, lambda x: ~F.array_contains("base", x)))
     return rows.join(base, "work_uid").select("seq", F.concat_ws(" ", missing).alias("unmatched"))
 
 
