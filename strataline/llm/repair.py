@@ -27,6 +27,8 @@ from .perceptron import AveragedPerceptron
 SLOTS = 1 << 21
 #: Chunks without signs of damage that the models are trained on, at most.
 SAMPLE = 2500
+#: An edit must lead to a key at least 4 times as frequent.
+LEAST_GAIN = 4
 #: Words longer than this are codes and are neither counted nor edited.
 LONGEST_WORD = 40
 
@@ -74,6 +76,8 @@ class Counts:
     def __init__(self, levels: np.ndarray):
         self.levels = levels
         self.memo: dict[str, int] = {}
+        #: From here on a word is too common to be a misreading of another: 1/64 of the most common key.
+        self.common = int(levels.max(initial=0)) - 12
 
     def level(self, key: str) -> int:
         """About twice the binary logarithm of a count; 0 for none."""
@@ -184,6 +188,7 @@ class Editor:
 
     def __init__(self, counts: Counts, model: AveragedPerceptron):
         self.counts, self.model, self.memo = counts, model, {}
+        self.sound: set[str] = set()  # words that need no edit
 
     def candidates(self, word: str) -> list[tuple[str, int, str, str, int]]:
         """(word after, place, as read, as printed, steps): the most frequent results of one edit, else of two."""
@@ -208,8 +213,10 @@ class Editor:
         if got is None:
             if len(self.memo) > 500_000:
                 self.memo.clear()
-            got = self._fix(word)
-            self.memo[word] = got = word if got == word else got  # the same object where nothing changes
+                self.sound.clear()
+            got = self.memo[word] = self._fix(word)
+            if got == word and LOST not in word:
+                self.sound.add(word)
         return got
 
     def _fix(self, word: str) -> str:
@@ -217,11 +224,14 @@ class Editor:
         if len(low) > LONGEST_WORD or low.isdigit() or (len(low) < 3 and LOST not in low):
             return word
         before = self.counts.level(low)
-        if before >= 24:
+        if before >= self.counts.common > 0:
             return word
         best, lead = None, 0.0
         for after, place, wrong, right, steps in self.candidates(low):
-            op, score = self.model.predict(edit_features(low, place, wrong, right, before, self.counts.level(after), steps))
+            gain = self.counts.level(after) - before
+            if gain < LEAST_GAIN and wrong != LOST:
+                continue
+            op, score = self.model.predict(edit_features(low, place, wrong, right, before, before + gain, steps))
             if op != "keep" and score > lead:
                 best, lead = after, score
         if best is None:
@@ -237,19 +247,25 @@ class Editor:
         whole = (left + right).lower()
         n = max(level(whole), level(self.fixed(whole).lower()))
         a, b = level(left.lower()), level(right.lower())
-        return ["hyphen", f"whole{_bin(n)}", f"wholeknown{n > 4}", f"parts{min(a, b) // 4}w{n > 4}", f"mark{mark in '-‐'}", f"mark{mark in '-‐'}p{min(a, b) > 8}w{n > 4}", f"lower{right[0].islower()}"]
+        return ["hyphen", f"joingain{max(-6, min(6, (n - min(a, b)) // 4))}", f"whole{_bin(n)}", f"wholeknown{n > 4}", f"parts{min(a, b) // 4}w{n > 4}", f"mark{mark in '-‐'}", f"mark{mark in '-‐'}p{min(a, b) > 8}w{n > 4}", f"lower{right[0].islower()}"]
 
     def han_edits(self, flat: str) -> list[tuple[int, str]]:
         """(place, as printed) of the misread Chinese characters of an unbroken text."""
         out, level = [], self.counts.level
+        usual = max(LEAST_GAIN, self.counts.common - 6)  # both neighbours at home: no misreading
         for m in _SHAPE_AT.finditer(flat):
             k, char = m.start(), m[0]
             if not ("㐀" <= flat[k - 1 : k] <= "鿿" or "㐀" <= flat[k + 1 : k + 2] <= "鿿"):
                 continue
-            was = [level(key) for key in around(flat, k, char)]
+            keys = around(flat, k, char)
+            if level(keys[1]) >= usual and level(keys[2]) >= usual:
+                continue
+            was = [level(key) for key in keys]
             best, lead = "", 0.0
             for right in _SHAPES[char]:
                 now = [level(key) for key in around(flat, k, right)]
+                if max(now[1] - was[1], now[2] - was[2]) < LEAST_GAIN:
+                    continue
                 op, score = self.model.predict(_han_features(was, now))
                 if op != "keep" and score > lead:
                     best, lead = right, score
@@ -374,7 +390,7 @@ def train(counts: Counts, sample: list[tuple[str, int | None, str]], seed: int =
             wrong = rng.choice(by_right[right]) if rng.random() > 0.1 else LOST * len(right)
             bad = low[:k] + wrong + low[k + len(right) :]
             # A misreading recurs, so its own count is anything well below that of the word.
-            level = max(counts.level(bad), min(rng.choice((0, 0, 1, 2, 3, 4, 5, 6, 8)), before - 6))
+            level = max(counts.level(bad), rng.choice((0, rng.randint(0, 6), rng.randint(0, max(0, before - 8)))))
             for after, place, w, r, steps in editor.candidates(bad):
                 truth = _operation(w, r) if after == low else "keep"
                 examples.append((edit_features(bad, place, w, r, level, counts.level(after), steps), truth))
@@ -470,9 +486,8 @@ def repaired(text: str, page: int | None, title: str, editor: Editor, lines_mode
             found.add("glyph")
         return after
 
-    known = editor.memo
-    for w in set(_WORD.findall(flat)):
-        if known.get(w) is not w and (editor.fixed(w) != w or LOST in w):
+    for w in set(_WORD.findall(flat)) - editor.sound:
+        if editor.fixed(w) != w or LOST in w:
             if not rebuild:
                 found.add("glyph")
                 break
