@@ -46,3 +46,54 @@ def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: str, en
     a, b = cells(left, "l"), cells(right, "r")
     hit = a.join(b, [*on, "_cell"]).where((F.col(f"l_{start}") < F.col(f"r_{end}")) & (F.col(f"r_{start}") < F.col(f"l_{end}")))
     return hit.where(F.col("_cell") == F.floor(F.greatest(f"l_{start}", f"r_{start}") / width)).drop("_cell")
+
+
+def task_states(events: DataFrame, task: str, order: str, status: str, retries: int = 5) -> DataFrame:
+    """(task, status, attempts, wait_seconds): the state of each task after all its events.
+
+    ``failed`` events wait 5 * 2 ** n seconds, at most an hour, and end in ``failed`` after ``retries``; a deferred
+    task gets its attempt back. The last event decides; ties fall to the greatest status.
+    """
+    per_task = events.where(F.col(task).isNotNull()).groupBy(task).agg(
+        F.max(F.struct(order, status)).alias("last"),
+        F.count(F.when(F.col(status) == "failed", 1)).alias("failures"),
+        F.count(F.when(F.col(status).isin("started", "failed"), 1)).alias("starts"),
+        F.count(F.when(F.col(status) == "deferred", 1)).alias("deferred"),
+    )
+    last = F.col(f"last.{status}")
+    state = F.when((last == "failed") & (F.col("failures") < retries), "retry_wait").otherwise(last)
+    return per_task.select(
+        task,
+        state.alias("status"),
+        F.greatest(F.col("starts") - F.col("deferred"), F.lit(0)).alias("attempts"),
+        F.when(state == "retry_wait", F.least(F.lit(3600.0), 5 * F.pow(F.lit(2.0), F.col("failures")))).alias("wait_seconds"),
+    )
+
+
+def bootstrap_mean(df: DataFrame, value: str, group: list[str], rounds: int = 2000, seed: int = 0) -> DataFrame:
+    """(group, mean, low, high): the mean and the 2.5 % and 97.5 % quantiles of its Poisson bootstrap.
+
+    Every row draws its weight in each round from its own hash, so rounds are sums that combine before the shuffle
+    and no group is gathered. Groups without a value give no row; ``group`` may be empty.
+    """
+    import numpy as np
+    import pandas as pd
+
+    keyed = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v"), F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]).alias("_h"))
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in keyed.schema.fields[: len(group)])
+
+    def draw(batches):
+        for pdf in batches:
+            for key, part in pdf.groupby(group, dropna=False) if group else [((), pdf)]:
+                w = np.zeros((2, rounds))
+                for h, v in zip(part["_h"].to_numpy(np.int64), part["_v"].to_numpy(float)):
+                    n = np.random.Generator(np.random.PCG64(int(h) & (1 << 63) - 1)).poisson(1.0, rounds)
+                    w += n * np.array([[1.0], [v]])
+                out = {c: [k] * rounds for c, k in zip(group, key)}
+                yield pd.DataFrame({**out, "round": range(rounds), "n": w[0], "s": w[1]})
+
+    sums = keyed.mapInPandas(draw, f"{fields}round int, n double, s double").groupBy(*group, "round").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    means = sums.withColumn("m", F.try_divide("s", "n")).groupBy(*group).agg(F.percentile("m", F.array(F.lit(0.025), F.lit(0.975))).alias("q"))
+    exact = keyed.groupBy(*group).agg(F.avg("_v").alias("mean"))
+    joined = exact.join(means, group) if group else exact.withColumn("_k", F.lit(1)).join(means.withColumn("_k", F.lit(1)), "_k")
+    return joined.select(*group, "mean", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))

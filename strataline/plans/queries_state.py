@@ -384,3 +384,71 @@ def bbox_status(spark: SparkSession, d: str) -> DataFrame:
     bad = F.exists("bboxes", lambda b: F.coalesce((F.size(b) != 4) | (at(b, 1) >= at(b, 3)) | (at(b, 2) >= at(b, 4)), F.lit(True)))
     out = F.exists("bboxes", lambda b: (at(b, 1) < 0) | (at(b, 2) < 0) | (at(b, 3) > 600) | (at(b, 4) > 850))
     return read_table(spark, d, "chunks").select("chunk_version_uid", F.when(F.col("bboxes").isNull(), "missing").when(bad, "invalid").when(out, "out").otherwise("within").alias("bbox_status")).distinct()
+
+
+@query("""
+    WITH e AS (SELECT user_id, ts, event_id, CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'succeeded' WHEN 'view' THEN 'deferred' ELSE 'started' END AS status FROM events),
+    a AS (SELECT user_id, arg_max(status, struct_pack(t := ts, s := status)) AS last, count(*) FILTER (WHERE status = 'failed') AS failures,
+                 count(*) FILTER (WHERE status IN ('started', 'failed')) AS starts, count(*) FILTER (WHERE status = 'deferred') AS deferred FROM e GROUP BY 1)
+    SELECT user_id, CASE WHEN last = 'failed' AND failures < 20 THEN 'retry_wait' ELSE last END AS status, greatest(starts - deferred, 0) AS attempts,
+           CASE WHEN last = 'failed' AND failures < 20 THEN least(3600.0, 5 * pow(2.0, failures)) END AS wait_seconds
+    FROM a
+""")
+def task_states(spark: SparkSession, d: str) -> DataFrame:
+    """The state of each task after its events: retries, waits and deferrals."""
+    kind = F.col("event_type")
+    status = F.when(kind == "error", "failed").when(kind == "purchase", "succeeded").when(kind == "view", "deferred").otherwise("started")
+    events = read_table(spark, d, "events").select("user_id", "ts", status.alias("status"))
+    return S.task_states(events, "user_id", "ts", "status", retries=20)
+
+
+@query()
+def bootstrap_intervals(spark: SparkSession, d: str) -> DataFrame:
+    """Mean value of each event type with its bootstrap interval."""
+    return S.bootstrap_mean(read_table(spark, d, "events").select("event_id", "event_type", "value"), "value", ["event_type"], rounds=500)
+
+
+@query("""
+    SELECT coalesce(event_type, '*') AS event_type, coalesce(day, '*') AS day, count(*) AS episodes, count(DISTINCT user_id) AS users,
+           round(avg(value), 6) AS mean_reward, count(*) FILTER (WHERE value > 50) AS accepted
+    FROM (SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, user_id, value FROM events) GROUP BY GROUPING SETS ((), (event_type), (day), (event_type, day))
+""")
+def episode_report(spark: SparkSession, d: str) -> DataFrame:
+    """Episodes in total, by kind, by day and by both; users are counted from one row per user and slice."""
+    e = read_table(spark, d, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), "user_id", "value")
+    fine = e.groupBy("event_type", "day", "user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"), F.count("value").alias("nv"), F.count(F.when(F.col("value") > 50, 1)).alias("ok"))
+    sets = fine.groupingSets([(), ("event_type",), ("day",), ("event_type", "day")], "event_type", "day")
+    return sets.agg(
+        F.sum("n").alias("episodes"), F.countDistinct("user_id").alias("users"), F.round(F.sum("v") / F.sum("nv"), 6).alias("mean_reward"), F.sum("ok").alias("accepted")
+    ).select(F.coalesce("event_type", F.lit("*")).alias("event_type"), F.coalesce("day", F.lit("*")).alias("day"), "episodes", "users", "mean_reward", "accepted")
+
+
+@query("""
+    SELECT coalesce(a.s, b.s) AS sample_id, a.h AS corpus_hash, b.h AS report_hash FROM
+      (SELECT sample_id AS s, min(sha256(text)) AS h FROM corpus GROUP BY 1) a JOIN
+      (SELECT sample_id AS s, min(lower(content_hash)) AS h FROM quality_report GROUP BY 1) b ON a.s = b.s AND a.h <> b.h
+""")
+def score_identity_guard(spark: SparkSession, d: str) -> DataFrame:
+    """Samples whose report was made for another text; none if the reports may be used."""
+    a = read_table(spark, d, "corpus").groupBy("sample_id").agg(F.min(F.sha2("text", 256)).alias("corpus_hash"))
+    b = read_table(spark, d, "quality_report").groupBy("sample_id").agg(F.min(F.lower("content_hash")).alias("report_hash"))
+    return a.join(b, "sample_id").where("corpus_hash <> report_hash").select("sample_id", "corpus_hash", "report_hash")
+
+
+@query("""
+    SELECT CAST(o_custkey AS BIGINT) AS custkey, arg_max(o_orderkey, struct_pack(d := o_orderdate, k := o_orderkey)) AS last_order, count(*) AS orders
+    FROM orders GROUP BY 1
+""")
+def latest_run(spark: SparkSession, d: str) -> DataFrame:
+    """The last order of each customer: the point-in-time lookup, combined before the shuffle."""
+    return read_table(spark, d, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("last_order"), F.count(F.lit(1)).alias("orders"))
+
+
+@query("""
+    SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n
+    FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2
+""")
+def pricing_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Sums by two flags below a date, with the filter in the scan."""
+    rows = read_table(spark, d, "lineitem").where("l_shipdate <= timestamp_ntz'1998-09-02 00:00:00'")
+    return rows.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count(F.lit(1)).alias("n"))
