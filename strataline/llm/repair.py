@@ -29,13 +29,15 @@ SLOTS = 1 << 21
 SAMPLE = 2500
 #: An edit must lead to a key at least 4 times as frequent.
 LEAST_GAIN = 4
+#: From this gain on (64 times as frequent) a long word of the sample is taken for a misreading.
+SUSPECT_GAIN = 12
 #: Words longer than this are codes and are neither counted nor edited.
 LONGEST_WORD = 40
 
 # Usual misreadings in Latin script, as read > as printed.
-MISREAD = """
+MISREAD = r"""
 0>o 1>l 1>i l>i i>l c>e e>c b>h h>b 5>s 6>é 6>b 6>ó 8>b 9>g q>g 4>a 7>t rn>m m>rn ri>n n>ri ii>u u>ii ii>ü cl>d d>cl
-li>h h>li vv>w w>vv nn>m fi>ti tl>d
+li>h h>li \/>v vv>w w>vv nn>m fi>ti tl>d
 """
 # Chinese characters of like shape; either may be read for the other.
 LIKE = """
@@ -54,7 +56,7 @@ LOST = "�"
 _LETTERS = "aeioutnrslcdmpgbhfvkyzwjxqáàâäéèêëíîïóôöúùûüñçß"
 
 _HAN = "㐀-鿿"
-_WORD = re.compile(f"(?:[^\\W_{_HAN}]|{LOST})+")
+_WORD = re.compile(rf"(?:[^\W_{_HAN}]|{LOST}|\\/)+")
 _HYPHEN = re.compile(f"(?<![^\\W\\d_])([^\\W\\d_{_HAN}]+)([-‐¬­])[ \\t]?\\n[ \\t]?([^\\W\\d_{_HAN}]+)")
 _SHAPE_AT = re.compile(f"[{''.join(_SHAPES)}]")
 _HAN_BREAK = re.compile(f"(?<=[{_HAN}，、])\\n(?=[{_HAN}])")
@@ -381,7 +383,9 @@ def train(counts: Counts, sample: list[tuple[str, int | None, str]], seed: int =
         low = word.lower()
         before = counts.level(low)
         for after, place, wrong, right, steps in editor.candidates(low)[:3]:
-            examples.append((edit_features(low, place, wrong, right, before, counts.level(after), steps), "keep"))
+            # The sample is not free of misreadings; a long word far below its neighbour teaches nothing.
+            if len(low) < 6 or counts.level(after) - before < SUSPECT_GAIN:
+                examples.append((edit_features(low, place, wrong, right, before, counts.level(after), steps), "keep"))
         if before < 6:
             continue
         spots = [(k, r) for k in range(len(low)) for r in (low[k], low[k : k + 2]) if r in by_right]
