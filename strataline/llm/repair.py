@@ -53,6 +53,8 @@ for _a, _b in LIKE.split():
     _SHAPES.setdefault(_a, []).append(_b)
     _SHAPES.setdefault(_b, []).append(_a)
 LOST = "�"
+#: Content types whose lines have the forms of furniture by nature.
+NO_FURNITURE = ("table", "formula", "caption", "reference")
 _LETTERS = "aeioutnrslcdmpgbhfvkyzwjxqáàâäéèêëíîïóôöúùûüñçß"
 
 _HAN = "㐀-鿿"
@@ -68,6 +70,8 @@ _NUMBERED = re.compile(
 )
 _JOINT = re.compile(r"\s{3,}|\s+\|\s+|\s*\.{4,}\s*|\s+·\s+")
 _YEAR = re.compile(r"(?:19|20)\d\d\s*(?:年?度?报告|年报)?$")
+# Words that join the last part of a title.
+_CONNECT = {"and", "und", "et", "y", "e", "of"}
 _CAPTION = re.compile(r"[^\W\d]+\.? ?\d{1,4}[ .:]+\S")
 _NUMBER_ENDS = "0123456789])-–—·•*页"
 
@@ -308,6 +312,9 @@ def line_features(line: str, before: str, after: str, place: str, page: int | No
     heading = rest.lower() in heads[-1:]
     near = "none" if not digits or page is None else "same" if digits[0] == page else "near" if abs(digits[0] - page) < 3 else "far"
     open_before = bool(before.strip()) and before.strip()[-1] not in ".!?。！？:："
+    follows = after.strip()
+    flows = "none" if not follows else "lower" if follows[0].islower() else "upper" if follows[0].isupper() else "han" if "㐀" <= follows[0] <= "鿿" else "other"
+    joined = len(words) > 2 and words[-2].lower() in _CONNECT  # "A b and C", as titles are made
     free = f"{not before.strip()}{not after.strip()}"
     yearly = bool(_YEAR.search(rest)) and len(words) <= 7
     han = bool(re.search(f"[{_HAN}]", rest))
@@ -317,7 +324,8 @@ def line_features(line: str, before: str, after: str, place: str, page: int | No
         f"titled{titled > 0.55}y{yearly}n{has_number}", f"upper{rest.isupper()}w{len(words) > 1}", f"words{min(len(words), 8)}h{han}", f"size{size}h{han}",
         f"heading{heading}n{has_number}", f"yearly{yearly}", f"yearly{yearly}place{place}", f"open{open_before}n{has_number}",
         f"known{rest.lower() in heads[:1]}", f"comma{bool(re.search('[,，。;；]|[.] ', rest))}", f"captioned{bool(_CAPTION.match(rest))}n{has_number}", f"edge{place}t{titled > 0.55}n{has_number}y{yearly}free{free}",
-        f"han{han}place{place}n{has_number}size{size}",
+        f"han{han}place{place}n{has_number}size{size}", f"flow{open_before}{flows}", f"flow{open_before}{flows}n{has_number}", f"flow{flows}words{min(len(words), 8)}n{has_number}",
+        f"last{words[-1].lower() if words and not han else ''}", f"joined{joined}", f"joined{joined}n{has_number}flow{flows}",
     ]
 
 
@@ -366,8 +374,6 @@ def _furniture(rng: random.Random, page: int, title: str, name: str) -> list[str
     return [text + joint + number if form == 4 else number + joint + text]
 
 
-_CONNECT = {"and", "und", "et", "y", "of", "与"}
-
 
 def train(counts: Counts, sample: list[tuple[str, int | None, str]], seed: int = 5) -> tuple[AveragedPerceptron, AveragedPerceptron]:
     """(character model, line model) from clean (text, page, title_context) with damage laid over them."""
@@ -515,7 +521,7 @@ def repaired(text: str, page: int | None, title: str, editor: Editor, lines_mode
 
 def clean_sample(chunks: DataFrame, limit: int = SAMPLE) -> list[tuple[str, int | None, str]]:
     """The chunks of the least hashes, at most ``limit``, whose layout has nothing beside a title and a text."""
-    rows = chunks.where("text is not null and chunk_version_uid is not null and content_type in ('section', 'caption', 'footnote', 'reference') and size(block_labels) <= 2 and not contains(text, '�')")
+    rows = chunks.where("text is not null and chunk_version_uid is not null and content_type in ('section', 'footnote') and size(block_labels) <= 2 and not contains(text, '�')")
     picked = rows.select("chunk_version_uid", "text", "page", F.coalesce("title_context", F.lit("")).alias("title")).distinct()
     return [(r["text"], r["page"], r["title"]) for r in picked.orderBy(F.xxhash64("chunk_version_uid"), "chunk_version_uid").limit(limit).toLocalIterator()]
 
@@ -531,7 +537,7 @@ def _scan(chunks: DataFrame, with_text: bool) -> DataFrame:
         for pdf in batches:
             uids, texts, damages = [], [], []
             for uid, text, page, title, kind in zip(pdf["chunk_version_uid"], pdf["text"], pdf["page"], pdf["title_context"], pdf["content_type"]):
-                clean, found = repaired(text, None if pd.isna(page) else int(page), title or "", editor, lines, kind not in ("table", "formula"), with_text)
+                clean, found = repaired(text, None if pd.isna(page) else int(page), title or "", editor, lines, kind not in NO_FURNITURE, with_text)
                 if with_text:
                     uids.append(uid)
                     texts.append(clean)
