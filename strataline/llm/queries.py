@@ -132,6 +132,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "p1_found": r"""
+        WITH RECURSIVE c AS (
+            SELECT case_id, arg_max(struct_pack(s := split, g := grouping, e := evidence_chunks), updated_at) AS r FROM agent_cases GROUP BY 1
+        ), k AS (
+            SELECT case_id, lower(trim(r.s)) AS split, lower(trim(r.g.base_snapshot_group)) AS snap,
+                   regexp_replace(lower(trim(r.g.source_group)), '^work-', '') AS work, r.e AS e FROM c
+        ), works AS (
+            SELECT case_id, work FROM k WHERE work NOT IN ('', 'unknown', 'n/a')
+            UNION SELECT v.case_id, h.work_uid FROM (SELECT case_id, unnest(e) AS u FROM k) v JOIN chunks h ON h.chunk_version_uid = v.u
+        ), states AS (
+            SELECT document_uid, arg_max(struct_pack(w := work_uid, s := stock_code), updated_at) AS r FROM local_documents GROUP BY 1
+        ), issuers AS (
+            SELECT DISTINCT r.w AS work, regexp_extract(r.s, '([0-9]{6})', 1) AS issuer FROM states
+        ), ties AS (
+            SELECT case_id, 'w' || work AS t FROM works
+            UNION SELECT case_id, 'i' || issuer FROM works JOIN issuers USING (work) WHERE issuer NOT IN ('', '000000')
+            UNION SELECT case_id, 's' || snap FROM k WHERE snap NOT IN ('', 'unknown', 'n/a')
+        ), step AS (
+            SELECT DISTINCT a.case_id AS a, b.case_id AS b FROM ties a JOIN ties b USING (t)
+        ), reach AS (
+            SELECT a, b FROM step UNION SELECT r.a, s.b FROM reach r JOIN step s ON r.b = s.a
+        )
+        SELECT DISTINCT r.a AS case_id FROM reach r JOIN k x ON x.case_id = r.a JOIN k y ON y.case_id = r.b
+        WHERE x.split IN ('train', 'validation', 'test') AND y.split IN ('train', 'validation', 'test') AND x.split <> y.split
+    """,
     "p2_found": """
         SELECT DISTINCT c.chunk_version_uid
         FROM chunks c JOIN governance_config g
