@@ -30,19 +30,24 @@ class _Table(html.parser.HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.rows: list[list[str]] = []
+        self.places: list[tuple[int, int]] = []
         self.open = False
 
     def handle_starttag(self, tag, attrs):
         if tag == "tr":
-            self.rows.append([])
+            self.row()
         elif tag in ("td", "th"):
             if not self.rows:
-                self.rows.append([])
+                self.row()
             self.rows[-1].append("")
             self.open = True
         elif tag == "br" and self.open:
             self.rows[-1][-1] += " "
 
+    def row(self):
+        self.rows.append([])
+        self.places.append(self.getpos())
+
     def handle_endtag(self, tag):
         if tag in ("td", "th", "tr", "table"):
             self.open = False
@@ -64,15 +69,34 @@ def html_table_to_markdown(value: str) -> str:
     return "\n".join([lines[0], "| " + " | ".join(["---"] * width) + " |", *lines[1:]])
 
 
+def _table_places(value: str) -> list[tuple[int, int]]:
+    """Where each line of ``html_table_to_markdown(value)`` lies in ``value``; rule and empty lines have no length."""
+    parser = _Table()
+    parser.feed(value)
+    lines = [m.start() for m in re.finditer("^", value, re.M)]
+    starts = [lines[line - 1] + column for (line, column), row in zip(parser.places, parser.rows) if row]
+    if starts:
+        spans = [(a, a + len(value[a:b].rstrip())) for a, b in zip(starts, [*starts[1:], len(value)])]
+        return [spans[0], (spans[0][1],) * 2, *spans[1:]]
+    masked = re.sub(r"<[^>]+>", lambda m: " " * len(m[0]), value)
+    filled = iter([m.span() for m in re.finditer(r"[^\n]+", masked) if normalize_text(m[0])])
+    spans, end = [], 0
+    for line in html_table_to_markdown(value).split("\n"):
+        start, end = next(filled, (end, end)) if line.strip() else (end, end)
+        spans.append((start, end))
+    return spans
+
+
 @dataclass
 class Block:
-    """A piece of a document: its kind, its text, its place and, for headings, its level."""
+    """A piece of a document: its kind, its text, its place and, for headings, its level, for tables, the places of its lines."""
 
     kind: str
     text: str
     start: int
     end: int
     level: int = 0
+    lines: list[tuple[int, int]] = field(default_factory=list)
 
 
 _HTML_TABLE = re.compile(r"<table\b.*?</table\s*>", re.S | re.I)
@@ -89,9 +113,12 @@ def markdown_blocks(text: str) -> list[Block]:
         def flush() -> None:
             if pending:
                 kind = "table" if all(line.lstrip().startswith("|") for _, line in pending) else "paragraph"
-                body = "\n".join(line for _, line in pending).strip()
+                whole = "\n".join(line for _, line in pending)
+                body = whole.strip()
                 if body:
-                    out.append(Block(kind, body, shift + pending[0][0], shift + pending[-1][0] + len(pending[-1][1])))
+                    start = shift + pending[0][0] + len(whole) - len(whole.lstrip())
+                    lines = [(shift + at, shift + at + len(line)) for at, line in pending] if kind == "table" else []
+                    out.append(Block(kind, body, start, start + len(body), lines=lines))
                 pending.clear()
 
         for line in part.split("\n"):
@@ -112,7 +139,8 @@ def markdown_blocks(text: str) -> list[Block]:
     done = 0
     for m in _HTML_TABLE.finditer(text):
         plain(text[done : m.start()], done)
-        out.append(Block("table", html_table_to_markdown(m[0]), m.start(), m.end()))
+        lines = [(m.start() + a, m.start() + b) for a, b in _table_places(m[0])]
+        out.append(Block("table", html_table_to_markdown(m[0]), m.start(), m.end(), lines=lines))
         done = m.end()
     plain(text[done:], done)
     return out
@@ -148,6 +176,18 @@ def pack(text: str, limit: int, least: int) -> list[str]:
     return pieces
 
 
+def piece_places(text: str, pieces: list[str]) -> list[tuple[int, int]]:
+    """Where each piece of ``pack(text, ...)`` lies in ``text``: a cursor moves over the characters that are not blank,
+    as blanks between sentences are all that packing changes."""
+    filled = [k for k, c in enumerate(text) if not c.isspace()]
+    places, cursor = [], 0
+    for piece in pieces:
+        n = sum(not c.isspace() for c in piece)
+        places.append((filled[cursor], filled[cursor + n - 1] + 1))
+        cursor += n
+    return places
+
+
 def split_table(text: str, rows: int) -> list[str]:
     """A pipe table in parts of ``rows`` body rows, each under the two head rows."""
     lines = text.split("\n")
@@ -155,6 +195,13 @@ def split_table(text: str, rows: int) -> list[str]:
     return ["\n".join(head + body[k : k + rows]) for k in range(0, max(1, len(body)), rows)]
 
 
+def table_places(block: Block, rows: int) -> list[tuple[int, int]]:
+    """Where the own rows of each part of ``split_table`` lie; the first part begins with the table, the last ends with it."""
+    starts = [block.start, *(block.lines[k][0] for k in range(2 + rows, len(block.lines), rows))]
+    ends = [*(block.lines[k - 1][1] for k in range(2 + rows, len(block.lines), rows)), block.end]
+    return list(zip(starts, ends))
+
+
 @dataclass
 class Chunk:
     """A chunk with the headings above it."""
@@ -165,11 +212,15 @@ class Chunk:
     start: int
     end: int
     blocks: int = 1
-    parts: list[str] = field(default_factory=list)
+    parts: list[Block] = field(default_factory=list)
 
 
 def chunk_blocks(blocks: list[Block], limit: int = 2000, least: int = 80) -> list[Chunk]:
-    """Sections up to ``limit`` characters under their heading path; tables stand alone; a short tail joins the chunk before."""
+    """Sections up to ``limit`` characters under their heading path; tables stand alone; a short tail joins the chunk before.
+
+    A chunk lies from its first to its last character in the text that gave the blocks; the head rows that the later
+    parts of a table repeat are not counted.
+    """
     chunks: list[Chunk] = []
     stack: list[tuple[int, str]] = []
     section: Chunk | None = None
@@ -177,13 +228,17 @@ def chunk_blocks(blocks: list[Block], limit: int = 2000, least: int = 80) -> lis
     def close() -> None:
         nonlocal section
         if section:
-            body = "\n\n".join(section.parts)
-            for piece in [body] if len(body) <= limit else [p for part in section.parts for p in pack(part, limit, least)]:
+            body = "\n\n".join(b.text for b in section.parts)
+            placed = [(body, section.start, section.end)]
+            if len(body) > limit:
+                packed = [(b, pack(b.text, limit, least)) for b in section.parts]
+                placed = [(p, b.start + x, b.start + y) for b, made in packed for p, (x, y) in zip(made, piece_places(b.text, made))]
+            for piece, start, end in placed:
                 last = chunks[-1] if chunks else None
                 if last and last.kind == "section" and last.context == section.context and len(piece) < least and len(last.text) + len(piece) + 2 <= limit:
-                    last.text, last.end = last.text + "\n\n" + piece, section.end
+                    last.text, last.end = last.text + "\n\n" + piece, end
                 else:
-                    chunks.append(Chunk("section", section.context, piece, section.start, section.end, section.blocks))
+                    chunks.append(Chunk("section", section.context, piece, start, end, section.blocks))
         section = None
 
     for b in blocks:
@@ -197,13 +252,13 @@ def chunk_blocks(blocks: list[Block], limit: int = 2000, least: int = 80) -> lis
         if b.kind == "table":
             close()
             rows = max(5, min(30, limit // 120))
-            chunks += [Chunk("table", context, part, b.start, b.end) for part in split_table(b.text, rows)]
+            chunks += [Chunk("table", context, part, *place) for part, place in zip(split_table(b.text, rows), table_places(b, rows))]
             continue
-        if section and sum(map(len, section.parts)) + 2 * len(section.parts) + len(b.text) > limit:
+        if section and sum(len(p.text) for p in section.parts) + 2 * len(section.parts) + len(b.text) > limit:
             close()
         if section is None:
             section = Chunk("section", context, "", b.start, b.end, 0)
-        section.parts.append(b.text)
+        section.parts.append(b)
         section.end = b.end
         section.blocks += 1
     close()

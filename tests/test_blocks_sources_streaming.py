@@ -42,6 +42,28 @@ def test_chunks_have_heading_paths(spark):
     assert {r["doc_id"] for r in got} == {1, 4}
 
 
+def test_chunks_lie_at_their_offsets():
+    bare = lambda s: "".join(s.split())
+    long = "  Alpha beta.  Gamma\ndelta. 第一句。第二句。 " + " ".join(f"Sentence {k % 3} ends here." for k in range(60)) + " " + "x" * 900
+    pipe = "| h |\n| - |\n" + "\n".join(f"| {k} |" for k in range(12))
+    page = "<table>\n<tr><th>h</th></tr>\n" + "\n".join(f"<tr>\n<td>r{k}</td></tr>" for k in range(12)) + "\n</table>"
+    loose = "<table><caption\n>head</caption>\nline &amp; 1\n\n\n\n" + "\n".join(f"<i>line</i> {k}" for k in range(2, 14)) + "</table>"
+    text = f"# A\n\nintro\n\n{long}\n\ntail\n\n{pipe}\n\n# B\n{page}\nafter\n\n{loose}"
+    made = B.chunk_blocks(B.markdown_blocks(text), limit=300)
+    sections = [c for c in made if c.kind == "section"]
+    assert len(sections) > 8 and all(bare(text[c.start : c.end]) == bare(c.text) for c in sections)
+    tables = [[c for c in made if c.kind == "table" and text.index(t) <= c.start < text.index(t) + len(t)] for t in (pipe, page, loose)]
+    assert [len(t) for t in tables] == [3, 3, 3]
+    for parts, last in zip(tables, ("| 11 |", "<td>r11</td>", "<i>line</i> 13")):
+        assert all(a.end <= b.start for a, b in zip(parts, parts[1:])) and last in text[parts[2].start : parts[2].end]
+    assert [text[c.start : c.end] for c in tables[0][1:]] == ["\n".join(c.text.split("\n")[2:]) for c in tables[0][1:]]
+    for c in tables[1][1:]:
+        assert [r.split("<td>")[1].split("<")[0] for r in text[c.start : c.end].split("<tr>")[1:]] == [r.strip("| ") for r in c.text.split("\n")[2:]]
+    for c in tables[2][1:]:
+        own = c.text.split("\n")[2:]
+        assert own[0].split()[-1] in text[c.start : c.start + 20] and own[-1].split()[-1] in text[c.end - 20 : c.end]
+
+
 def test_line_edits():
     text = "one\ntwo two\nthree\nfour"
     assert B.apply_line_edits(text, ["rm 1", 'sub 3:"three"->"3"'], 0.1) == ("two two\n3\nfour", "")
