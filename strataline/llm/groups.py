@@ -114,7 +114,7 @@ def issuers_of_works(local_documents: DataFrame) -> DataFrame:
 
 
 def case_edges(cases: DataFrame, chunks: DataFrame, issuers: DataFrame) -> DataFrame:
-    """(src, dst) from each case to its works, snapshot and issuers; works without a case tie nothing."""
+    """(src, dst) from each case to its works, snapshot and issuers; works without a case tie no cases."""
     evidence = (
         cases.select("case_id", F.explode(F.array_distinct("evidence_chunks")).alias("chunk_version_uid"))
         .join(chunks.select("chunk_version_uid", F.lower(F.trim("work_uid")).alias("work")), "chunk_version_uid")
@@ -142,6 +142,29 @@ def case_components(agent_cases: DataFrame, chunks: DataFrame, local_documents:
     return placed, nodes, issuers
 
 
+def whole_components(nodes: DataFrame, issuers: DataFrame) -> DataFrame:
+    """(node, whole): the components of ``nodes`` with all works of ``issuers``, also those without a case, tied to their issuers.
+
+    The case components are contracted first, so only ties beyond them are searched. A whole with cases is named by
+    its least case component.
+    """
+    links = issuers.select(F.concat(F.lit("w:"), "work").alias("src"), F.concat(F.lit("i:"), "issuer").alias("dst"))
+    for end in ("src", "dst"):
+        links = links.join(nodes.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    merged = stage(components(links).withColumnRenamed("component", "whole"))
+    labels = nodes.select(F.col("component").alias("node")).distinct()
+    names = merged.join(labels, "node").groupBy("whole").agg(F.min("node").alias("name"))
+    named = stage(merged.join(names, "whole", "left").select("node", F.coalesce("name", "whole").alias("whole")))
+    of_cases = nodes.join(named.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("whole", "component").alias("whole"))
+    return of_cases.unionByName(named.join(nodes, "node", "left_anti"))
+
+
+def _placed_whole(placed: DataFrame, wholes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cases with their ``whole``, and (whole, assigned)."""
+    out = stage(placed.join(wholes.withColumnRenamed("node", "component"), "component", "left").withColumn("whole", F.coalesce("whole", "component")))
+    return out, assign_splits(out.select("case_id", F.col("whole").alias("component"))).withColumnRenamed("component", "whole")
+
+
 def split_conflicts(placed: DataFrame) -> DataFrame:
     """Cases whose recorded split is one of three while their component holds another of the three."""
     counted = placed.where(F.col("split").isin(*RECORDED))
@@ -190,12 +213,16 @@ def assign_splits(placed: DataFrame) -> DataFrame:
 
 
 def splits(agent_cases: DataFrame, chunks: DataFrame, local_documents: DataFrame) -> DataFrame:
-    """(case_id, component, recorded, assigned, conflict) for every valid case."""
-    placed, _, _ = case_components(agent_cases, chunks, local_documents)
-    placed = stage(placed)
+    """(case_id, component, recorded, assigned, conflict) for every valid case.
+
+    Cases whose components are tied by works without a case take one split, as the chunks of these works do; such
+    ties make no conflict.
+    """
+    placed, nodes, issuers = case_components(agent_cases, chunks, local_documents)
+    placed, assigned = _placed_whole(placed, whole_components(nodes, issuers))
     bad = split_conflicts(placed).withColumn("conflict", F.lit(True))
     return (
-        placed.join(assign_splits(placed), "component")
+        placed.join(assigned, "whole")
         .join(bad, "case_id", "left")
         .select("case_id", "component", F.col("split").alias("recorded"), "assigned", F.coalesce("conflict", F.lit(False)).alias("conflict"))
     )
@@ -204,20 +231,19 @@ def splits(agent_cases: DataFrame, chunks: DataFrame, local_documents: DataFrame
 def chunk_splits(agent_cases: DataFrame, chunks: DataFrame, local_documents: DataFrame) -> DataFrame:
     """(chunk_version_uid, work_uid, assigned) for every chunk.
 
-    A work takes the split of its component; a work outside the case graph that of its first issuer there,
-    and else of a bucket of its issuer, or of itself where it has none. A null work makes each chunk its own.
+    A work takes the split of its component in the graph of all cases, works and issuers: that of the component's
+    cases, and without a case that of a bucket of the component, or of the work where it has no tie. A null work
+    makes each chunk its own.
     """
     placed, nodes, issuers = case_components(agent_cases, chunks, local_documents)
-    assigned = nodes.join(assign_splits(stage(placed)), "component").select("node", "assigned")
-    by_work = assigned.where("node like 'w:%'").select(F.expr("substring(node, 3)").alias("work"), "assigned")
-    first = issuers.groupBy("work").agg(F.min("issuer").alias("issuer"))
-    by_issuer = assigned.where("node like 'i:%'").select(F.expr("substring(node, 3)").alias("issuer"), F.col("assigned").alias("by_issuer"))
-    known = issuers.join(by_issuer, "issuer").groupBy("work").agg(F.min_by("by_issuer", "issuer").alias("by_issuer"))
+    wholes = stage(whole_components(nodes, issuers))
+    _, assigned = _placed_whole(placed, wholes)
+    by_work = wholes.where("node like 'w:%'").select(F.expr("substring(node, 3)").alias("work"), "whole").join(assigned, "whole", "left")
     rows = chunks.select("chunk_version_uid", "work_uid", F.lower(F.trim("work_uid")).alias("work")).distinct()
-    works = rows.where("work is not null").select("work").distinct().join(by_work, "work", "left").join(known, "work", "left").join(first, "work", "left")
-    spot = F.pmod(F.xxhash64(F.coalesce("issuer", "work")), F.lit(BUCKETS)) / F.lit(float(BUCKETS))
+    works = rows.where("work is not null").select("work").distinct().join(by_work, "work", "left")
+    spot = F.pmod(F.xxhash64(F.coalesce("whole", "work")), F.lit(BUCKETS)) / F.lit(float(BUCKETS))
     hashed = F.when(spot < 0.8, "train").when(spot < 0.9, "validation").otherwise("test")
-    works = works.select("work", F.coalesce("assigned", "by_issuer", hashed).alias("assigned"))
+    works = works.select("work", F.coalesce("assigned", hashed).alias("assigned"))
     alone = F.pmod(F.xxhash64("chunk_version_uid"), F.lit(BUCKETS)) / F.lit(float(BUCKETS))
     return rows.join(works, "work", "left").select(
         "chunk_version_uid",

@@ -89,6 +89,22 @@ def test_cases_and_splits(spark):
     assert made["v1"] == case["c1"] and made["v2"] == case["c3"] and made["v3"] and made["v4"]
 
 
+def test_works_without_a_case_tie_their_issuers(spark):
+    group = "source_group string, base_snapshot_group string, template_family string"
+    agent = spark.createDataFrame([(f"c{k}", 1, "train", (f"w{k}", None, "t"), None) for k in range(40)], f"case_id string, updated_at int, split string, grouping struct<{group}>, evidence_chunks array<string>")
+    # Issuers 0-39 have a case each; work m belongs to all of these, works n40-n79 to issuer 0 and one without a case, works l40-l79 to the latter only; o80 and q80 share two issuers in turn.
+    own = [(f"w{k}", k) for k in range(40)] + [("m", k) for k in range(40)] + [(f"n{k}", i) for k in range(40, 80) for i in (0, k)] + [(f"l{k}", k) for k in range(40, 80)]
+    loose = [x for k in range(80, 160, 2) for x in ((f"o{k}", k), (f"q{k}", k), (f"q{k}", k + 1), (f"r{k}", k + 1))]
+    docs = spark.createDataFrame([(f"d{n}", 1, w, f"{600000 + i}") for n, (w, i) in enumerate(own + loose)], "document_uid string, updated_at int, work_uid string, stock_code string")
+    chunks = spark.createDataFrame([(w, w) for w in sorted({w for w, _ in own + loose})], "chunk_version_uid string, work_uid string")
+    made = {r["chunk_version_uid"]: r["assigned"] for r in groups.chunk_splits(agent, chunks, docs).collect()}
+    cases = groups.splits(agent, chunks, docs).collect()
+    assert {made[w] for w, _ in own} == {r["assigned"] for r in cases} and len({made[w] for w, _ in own}) == 1
+    assert not any(r["conflict"] for r in cases) and len({r["component"] for r in cases}) == 40
+    assert all(made[f"o{k}"] == made[f"q{k}"] == made[f"r{k}"] for k in range(80, 160, 2))
+    assert len({made[f"o{k}"] for k in range(80, 160, 2)}) > 1
+
+
 def test_splits_follow_the_shares(spark):
     data = [(f"c{k}", 1, "train", (f"w{k}", None, "t"), None) for k in range(600)] + [(f"h{k}", 1, "train", ("hot", None, "t"), None) for k in range(300)]
     agent = spark.createDataFrame(data, "case_id string, updated_at int, split string, grouping struct<source_group string, base_snapshot_group string, template_family string>, evidence_chunks array<string>")
