@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Queries of one block of a vector search.
 QUERY_BLOCK = 4096
+#: Most planes and bands of the sign hashes, and the share of pairs at the threshold that they may lose.
+PLANES, BANDS, LOST = 12, 64, 0.001
 
 
 def largest_remainder(weights: DataFrame, key: str, weight: str, total: int) -> DataFrame:
@@ -86,28 +90,48 @@ def top_by_similarity(queries: DataFrame, items: DataFrame, k: int, key: str = "
 
 
 def greedy_diverse(items: DataFrame, threshold: float, key: str = "vec_id", vector: str = "embedding", score: Column | None = None) -> DataFrame:
-    """(key): items in order of score, each accepted unless its cosine with an accepted one reaches ``threshold``.
+    """(key): items from the highest score down, each accepted unless its cosine with an accepted one reaches ``threshold``.
 
-    Similar pairs come from sign hashes with exact verification of all pairs that share a band, and the greedy
+    Equal scores, and all items without ``score``, go by key; a null score comes last. Similar pairs come from sign hashes with exact verification of all pairs that share a band, and the greedy
     order is resolved by rounds over these pairs (see near_duplicates.greedy_decisions).
     """
     from .near_duplicates import greedy_decisions
 
-    rank = items.select(F.col(key), vector, (score if score is not None else F.lit(0)).alias("_s"))
-    ordered = rank.select(F.col(key).alias("k"), F.col(vector).alias("v"))
-    pairs = cosine_pairs(ordered, threshold)
-    return greedy_decisions(ordered.select("k"), pairs).where("keep").select(F.col("k").alias(key))
+    rows = items.select(F.col(key).alias("k"), F.col(vector).alias("v"), (score if score is not None else F.lit(0)).alias("s"))
+    pairs = cosine_pairs(rows.select("k", "v"), threshold)
+    if score is not None:
+        sa, sb = rows.select(F.col("k").alias("a"), F.col("s").alias("sa")), rows.select(F.col("k").alias("b"), F.col("s").alias("sb"))
+        later = F.col("sb").isNotNull() & (F.col("sa").isNull() | (F.col("sb") > F.col("sa")))
+        pairs = pairs.join(sa, "a").join(sb, "b").select(F.when(later, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(later, F.col("a")).otherwise(F.col("b")).alias("b"))
+    return greedy_decisions(rows.select("k"), pairs).where("keep").select(F.col("k").alias(key))
+
+
+def sign_bands(threshold: float) -> tuple[int, int]:
+    """(planes, bands) of sign hashes that lose a pair at ``threshold`` with a probability of at most LOST.
+
+    A plane has both vectors on one side with 1 - angle / pi. The most planes are taken that need no more than BANDS
+    bands; no planes are one band of all pairs.
+    """
+    side = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    for planes in range(PLANES, 0, -1):
+        agree = side**planes
+        bands = 1 if agree == 1 else math.ceil(math.log(LOST) / math.log1p(-agree)) if agree > 1e-9 else BANDS + 1
+        if bands <= BANDS:
+            return planes, bands
+    return 0, 1
 
 
-def cosine_pairs(rows: DataFrame, threshold: float, planes: int = 12, bands: int = 24, seed: int = 3) -> DataFrame:
+def cosine_pairs(rows: DataFrame, threshold: float, planes: int | None = None, bands: int | None = None, seed: int = 3) -> DataFrame:
     """(a, b): pairs with a cosine of at least ``threshold`` that share one of ``bands`` sign hashes of ``planes`` planes.
 
-    At a cosine of 0.95 a band agrees with probability 0.28 and a pair is lost with less than 0.001; recall is
-    tested against brute force.
+    Both follow from the threshold (see sign_bands) unless both are given; recall is tested on pairs at the threshold.
     """
     import numpy as np
     import pandas as pd
 
+    if planes is None or bands is None:
+        planes, bands = sign_bands(threshold)
+
     def sign(batches):
         for pdf in batches:
             if not len(pdf):

@@ -154,3 +154,18 @@ def test_state(spark):
     assert {r["id"]: r["qc_passed"] for r in made.collect()} == {1: False, 2: True, 3: False}
     assert ("on", "fail", 2) in rows(state.check_summary(made))
     assert rows(state.next_attempt(df.withColumnRenamed("o", "attempt"), ["g"])) == {("g", 3), ("h", 6)}
+
+
+def test_diversity_goes_by_score_and_recall_holds_at_the_threshold(spark):
+    near = [[1.0, 0.0], [0.95, 0.3122], [0.8, 0.6]]  # 0-1 and 1-2 reach 0.9, 0-2 does not
+    df = spark.createDataFrame([(k, v, s) for k, (v, s) in enumerate(zip(near, [1.0, 2.0, None]))], "vec_id long, embedding array<double>, q double")
+    assert rows(selection.greedy_diverse(df, 0.9)) == {(0,), (2,)}
+    assert rows(selection.greedy_diverse(df, 0.9, score=F.col("q"))) == {(1,)}
+    assert rows(selection.greedy_diverse(df, 0.9, score=-F.col("q"))) == {(0,), (2,)}
+    rng = np.random.default_rng(1)
+    for t in (0.8, 0.9, 0.95):
+        a, b = np.linalg.qr(rng.standard_normal((800, 64, 2)))[0].transpose(2, 0, 1)
+        x = np.concatenate([a, (t + 1e-6) * a + np.sqrt(1 - (t + 1e-6) ** 2) * b])
+        found = rows(selection.cosine_pairs(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "k long, v array<double>"), t))
+        assert len(found & {(k, k + 800) for k in range(800)}) >= 0.99 * 800
+    assert selection.sign_bands(-1.0) == (0, 1) and selection.sign_bands(1.0) == (12, 1)
