@@ -405,7 +405,7 @@ def task_states(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def bootstrap_intervals(spark: SparkSession, d: str) -> DataFrame:
     """Mean value of each event type with its bootstrap interval."""
-    return S.bootstrap_mean(read_table(spark, d, "events").select("event_id", "event_type", "value"), "value", ["event_type"], rounds=500)
+    return S.bootstrap_mean(read_table(spark, d, "events").select("event_id", "event_type", "value"), "value", ["event_type"])
 
 
 @query("""

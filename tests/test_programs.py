@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 
 from strataline.operators import programs as P
 from strataline.operators import state
+from strataline.plans import queries_state
 
 
 def test_trees():
@@ -52,3 +53,11 @@ def test_bootstrap(spark):
     whole = state.bootstrap_mean(df, "v", [], rounds=100).first()
     assert whole["low"] <= whole["mean"] <= whole["high"]
     assert state.bootstrap_mean(df.limit(0), "v", ["g"], rounds=10).count() == 0
+
+
+def test_bootstrap_query_draws_all_resamples(spark, monkeypatch):
+    df = spark.createDataFrame([(k, "ab"[k % 2], float(k * k % 37)) for k in range(40)], "event_id int, event_type string, value double")
+    monkeypatch.setattr(queries_state, "read_table", lambda *_: df)
+    want = state.bootstrap_mean(df, "value", ["event_type"], rounds=2000)
+    order = lambda made: sorted(map(tuple, made.collect()))
+    assert order(queries_state.bootstrap_intervals(spark, "")) == order(want)
