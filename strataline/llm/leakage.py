@@ -2,8 +2,8 @@
 
 Each evaluation item is tiled into pieces of half a passage, so a passage that a document shares holds one
 whole piece. All pieces form one automaton that finds their exact hits in a document in one walk. Around a
-hit the item's words are verified against the document's with Myers' bit-parallel distance; only then the
-exact run of equal words through the hit is measured.
+hit Myers' bit-parallel distance of the item's words to the document's is measured and reported; it rejects
+nothing, as the piece itself is equal. What is found is decided by the exact run of equal words through the hit.
 """
 
 from __future__ import annotations
@@ -82,7 +82,7 @@ class Pieces:
             self.automaton.make_automaton()
 
     def search(self, text: str) -> Iterator[tuple[int, int, int, int, int, int]]:
-        """(item_id, run, item_words, distance, item_at, doc_at): the longest verified run for each item."""
+        """(item_id, run, item_words, distance, item_at, doc_at): the longest run for each item."""
         if not len(self.automaton):
             return
         own = words(text)
