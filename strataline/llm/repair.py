@@ -545,7 +545,8 @@ def _scan(chunks: DataFrame, with_text: bool) -> DataFrame:
                 else:
                     uids += [uid] * len(found)
                     damages += sorted(found)
-            yield pd.DataFrame({"chunk_version_uid": uids, "text": texts, "damage": damages} if with_text else {"chunk_version_uid": uids, "damage": damages})
+            # A frame of empty lists would have float columns, which Arrow turns into chunked strings: object columns, always.
+            yield pd.DataFrame({"chunk_version_uid": uids, "text": texts, "damage": damages} if with_text else {"chunk_version_uid": uids, "damage": damages}, dtype=object)
 
     rows = chunks.where("text is not null and chunk_version_uid is not null").select("chunk_version_uid", "text", "page", "title_context", "content_type")
     schema = "chunk_version_uid string, text string, damage array<string>" if with_text else "chunk_version_uid string, damage string"

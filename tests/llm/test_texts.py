@@ -170,6 +170,19 @@ def test_repair_of_nothing(spark, scanned):
     assert repair.damage(df.limit(0)).count() == 0 == repair.repaired_chunks(df.limit(0)).count()
 
 
+def test_batches_without_damage(spark, scanned):
+    """A batch in which nothing is found must give an empty frame of strings, not of floats."""
+    df, truth = scanned
+    sound = df.where(~F.col("chunk_version_uid").isin(*[u for u, kinds in truth.items() if kinds])).limit(20)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        assert repair.damage(sound).count() <= 2
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_line_forms():
     f = repair.line_features
     assert f("## Heading", "", "", "first", 1, "") is None and f("ends here.", "", "", "mid", 1, "") is None
