@@ -1,10 +1,10 @@
 """Splits that keep related records together (problem 1).
 
-Connected components come from a frontier breadth-first search. Edges lie hash-partitioned by their
-source node. Seeds are the nodes that no neighbour outranks by (degree, hash), so hubs seed and every
-component has a seed; all seeds expand at once. A node reached by several seeds takes the least label;
-edges whose ends carry different labels form the small graph of seeds, which is contracted by the same
-search until no labels collide. Nothing is collected: rounds are driven by counts.
+Connected components come from a frontier breadth-first search. Adjacency lists lie hash-partitioned by their
+node, those of hubs in several parts. Seeds are the nodes that no neighbour outranks by (degree, hash), so hubs
+seed and every component has a seed; all seeds expand at once, WAVES steps far. A node reached by several seeds
+takes the least label, one not reached seeds itself; edges whose ends carry different labels form the small graph
+of seeds, which is searched the same way until no labels collide. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -21,56 +21,52 @@ RECORDED = ("train", "validation", "test")
 BUCKETS = 4096
 #: A component above this share of all cases is placed on its own; there can be at most 1/HEAVY of them.
 HEAVY = 0.02
+#: Steps a frontier goes before colliding labels are merged.
+WAVES = 2
+#: A part of an adjacency list holds about this many neighbours; a hub's list has as many parts as that takes.
+PART = 100_000
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
+def _adjacency(edges: DataFrame, part: int) -> tuple[DataFrame, DataFrame]:
+    """(src, part, dst) in both directions, and (node, n, parts) with the degree of each node."""
     clean = edges.where("src is not null and dst is not null and src <> dst").select("src", "dst")
-    return clean.unionByName(clean.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    both = clean.unionByName(clean.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    nodes = both.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+    nodes = nodes.withColumn("parts", (F.col("n") / part).cast("int") + 1)
+    placed = both.join(nodes.withColumnRenamed("node", "src"), "src").select("src", F.pmod(F.xxhash64("dst"), "parts").cast("int").alias("part"), "dst", "n")
+    return stage(placed.repartition("src", "part")), nodes
 
 
-def _seeds(edges: DataFrame) -> DataFrame:
-    degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.struct(F.col("n"), F.xxhash64("dst"), F.col("dst"))
-    around = (
-        edges.join(degree.withColumnRenamed("src", "dst"), "dst")
-        .groupBy("src")
-        .agg(F.max(rank).alias("near"))
-        .join(degree, "src")
-    )
-    own = F.struct(F.col("n"), F.xxhash64("src"), F.col("src").alias("dst"))
-    return around.where(own > F.col("near")).select(F.col("src").alias("node"), F.col("src").alias("label"))
-
-
-def _search(edges: DataFrame) -> DataFrame:
-    """(node, label) for every node of ``edges``: the seed whose wave arrived first, the least one on ties."""
-    frontier = stage(_seeds(edges))
-    seen = frontier
-    while not frontier.isEmpty():
-        reached = (
-            frontier.join(edges, frontier.node == edges.src)
-            .groupBy(F.col("dst").alias("node"))
-            .agg(F.min("label").alias("label"))
-        )
-        frontier = stage(reached.join(seen.select("node"), "node", "left_anti"))
-        seen = seen.unionByName(frontier)
-    return stage(seen.repartition("node"))
-
-
-def components(edges: DataFrame) -> DataFrame:
+def _beside(nodes: DataFrame, lists: DataFrame) -> DataFrame:
+    """Rows of ``nodes`` joined to their neighbours, part by part."""
+    spread = nodes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumnRenamed("node", "src")
+    return spread.join(lists, ["src", "part"])
+
+
+def components(edges: DataFrame, part: int = PART) -> DataFrame:
     """(node, component) for every node with an edge; ``component`` is one of its nodes.
 
     Null ends and self-loops are dropped; repeated edges count once; no edges give no rows.
     """
-    edges = stage(_both_ways(edges).repartition("src"))
-    labels = _search(edges)
-    a, b = labels.select(F.col("node").alias("src"), F.col("label").alias("la")), labels.select(F.col("node").alias("dst"), F.col("label").alias("lb"))
-    collisions = stage(
-        edges.where("src < dst").join(a, "src").join(b, "dst").where("la <> lb")
-        .select(F.least("la", "lb").alias("src"), F.greatest("la", "lb").alias("dst")).distinct()
-    )
+    lists, nodes = _adjacency(edges, part)
+    # The greatest rank among the neighbours combines before the shuffle, so a hub gathers no list.
+    near = lists.groupBy(F.col("dst").alias("node")).agg(F.max(F.struct("n", F.xxhash64("src").alias("h"), F.col("src").alias("of"))).alias("near"))
+    lists = lists.drop("n")
+    own = F.struct("n", F.xxhash64("node").alias("h"), F.col("node").alias("of"))
+    labels = stage(nodes.join(near, "node").select("node", "parts", F.when(own > F.col("near"), F.col("node")).alias("label"), F.lit(0).alias("wave")))
+    for wave in range(1, WAVES + 1):
+        front = labels.where((F.col("wave") == wave - 1) & F.col("label").isNotNull()).select("node", "parts", "label")
+        reached = _beside(front, lists).groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("found"))
+        labels = stage(labels.join(reached, "node", "left").select(
+            "node", "parts", F.coalesce("label", "found").alias("label"), F.when(F.col("label").isNull(), wave).otherwise(F.col("wave")).alias("wave")
+        ))
+    labels = labels.select("node", "parts", F.coalesce("label", "node").alias("label"))
+    # A node's neighbours carry few labels; they are made distinct before they meet its own.
+    beside = _beside(labels, lists).select(F.col("dst").alias("node"), F.col("label").alias("other")).distinct()
+    collisions = stage(beside.join(labels, "node").where("label < other").select(F.col("label").alias("src"), F.col("other").alias("dst")).distinct())
     if collisions.isEmpty():
         return labels.select("node", F.col("label").alias("component"))
-    merged = components(collisions).select(F.col("node").alias("label"), "component")
+    merged = components(collisions, part).select(F.col("node").alias("label"), "component")
     return labels.join(merged, "label", "left").select("node", F.coalesce("component", "label").alias("component"))
 
 
@@ -85,8 +81,8 @@ def work_of_group(col: Column) -> Column:
 
 
 def issuer(col: Column) -> Column:
-    """The six digits of a stock code; null for none and for 000000."""
-    code = F.regexp_extract(F.regexp_replace(col, r"\s", ""), r"(?<!\d)(\d{6})(?!\d)", 1)
+    """The first six digits in a row of a stock code; null for none and for 000000."""
+    code = F.regexp_extract(col, "([0-9]{6})", 1)
     return F.when(code.isin("", "000000"), None).otherwise(code)
 
 
@@ -114,55 +110,31 @@ def issuers_of_works(local_documents: DataFrame) -> DataFrame:
 
 
 def case_edges(cases: DataFrame, chunks: DataFrame, issuers: DataFrame) -> DataFrame:
-    """(src, dst) from each case to its works, snapshot and issuers; works without a case tie no cases."""
+    """(src, dst) from each case to its works and snapshot, and from each work to its issuers, also where no case has the work."""
     evidence = (
         cases.select("case_id", F.explode(F.array_distinct("evidence_chunks")).alias("chunk_version_uid"))
         .join(chunks.select("chunk_version_uid", F.lower(F.trim("work_uid")).alias("work")), "chunk_version_uid")
         .select("case_id", "work")
     )
-    works = stage(cases.select("case_id", "work").unionByName(evidence).where("work is not null").distinct())
-    case = F.concat(F.lit("c:"), F.col("case_id")).alias("src")
+    works = cases.select("case_id", "work").unionByName(evidence).where("work is not null")
+    case, work = F.concat(F.lit("c:"), F.col("case_id")), F.concat(F.lit("w:"), F.col("work"))
     return (
-        works.select(case, F.concat(F.lit("w:"), F.col("work")).alias("dst"))
-        .unionByName(works.join(issuers, "work").select(case, F.concat(F.lit("i:"), F.col("issuer")).alias("dst")))
-        .unionByName(cases.where("snapshot is not null").select(case, F.concat(F.lit("s:"), F.col("snapshot")).alias("dst")))
+        works.select(case.alias("src"), work.alias("dst"))
+        .unionByName(issuers.select(work.alias("src"), F.concat(F.lit("i:"), F.col("issuer")).alias("dst")))
+        .unionByName(cases.where("snapshot is not null").select(case.alias("src"), F.concat(F.lit("s:"), F.col("snapshot")).alias("dst")))
     )
 
 
-def case_components(agent_cases: DataFrame, chunks: DataFrame, local_documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Valid cases with their component, the component of every node, and (work, issuer).
+def case_components(agent_cases: DataFrame, chunks: DataFrame, local_documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid cases with their component, and the component of every node that has a tie.
 
     A case without any tie is a component of its own. Cases with a null id are left out; a null split stays null.
     """
     cases = stage(valid_cases(agent_cases))
-    issuers = issuers_of_works(local_documents)
-    nodes = stage(components(case_edges(cases, chunks, issuers)))
+    nodes = stage(components(case_edges(cases, chunks, issuers_of_works(local_documents))))
     own = nodes.where("node like 'c:%'").select(F.expr("substring(node, 3)").alias("case_id"), "component")
     placed = cases.join(own, "case_id", "left").select("case_id", "split", F.coalesce("component", F.concat(F.lit("c:"), "case_id")).alias("component"))
-    return placed, nodes, issuers
-
-
-def whole_components(nodes: DataFrame, issuers: DataFrame) -> DataFrame:
-    """(node, whole): the components of ``nodes`` with all works of ``issuers``, also those without a case, tied to their issuers.
-
-    The case components are contracted first, so only ties beyond them are searched. A whole with cases is named by
-    its least case component.
-    """
-    links = issuers.select(F.concat(F.lit("w:"), "work").alias("src"), F.concat(F.lit("i:"), "issuer").alias("dst"))
-    for end in ("src", "dst"):
-        links = links.join(nodes.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
-    merged = stage(components(links).withColumnRenamed("component", "whole"))
-    labels = nodes.select(F.col("component").alias("node")).distinct()
-    names = merged.join(labels, "node").groupBy("whole").agg(F.min("node").alias("name"))
-    named = stage(merged.join(names, "whole", "left").select("node", F.coalesce("name", "whole").alias("whole")))
-    of_cases = nodes.join(named.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("whole", "component").alias("whole"))
-    return of_cases.unionByName(named.join(nodes, "node", "left_anti"))
-
-
-def _placed_whole(placed: DataFrame, wholes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cases with their ``whole``, and (whole, assigned)."""
-    out = stage(placed.join(wholes.withColumnRenamed("node", "component"), "component", "left").withColumn("whole", F.coalesce("whole", "component")))
-    return out, assign_splits(out.select("case_id", F.col("whole").alias("component"))).withColumnRenamed("component", "whole")
+    return placed, nodes
 
 
 def split_conflicts(placed: DataFrame) -> DataFrame:
@@ -213,16 +185,11 @@ def assign_splits(placed: DataFrame) -> DataFrame:
 
 
 def splits(agent_cases: DataFrame, chunks: DataFrame, local_documents: DataFrame) -> DataFrame:
-    """(case_id, component, recorded, assigned, conflict) for every valid case.
-
-    Cases whose components are tied by works without a case take one split, as the chunks of these works do; such
-    ties make no conflict.
-    """
-    placed, nodes, issuers = case_components(agent_cases, chunks, local_documents)
-    placed, assigned = _placed_whole(placed, whole_components(nodes, issuers))
+    """(case_id, component, recorded, assigned, conflict) for every valid case."""
+    placed, _ = case_components(agent_cases, chunks, local_documents)
     bad = split_conflicts(placed).withColumn("conflict", F.lit(True))
     return (
-        placed.join(assigned, "whole")
+        placed.join(assign_splits(placed), "component")
         .join(bad, "case_id", "left")
         .select("case_id", "component", F.col("split").alias("recorded"), "assigned", F.coalesce("conflict", F.lit(False)).alias("conflict"))
     )
@@ -231,17 +198,14 @@ def splits(agent_cases: DataFrame, chunks: DataFrame, local_documents: DataFrame
 def chunk_splits(agent_cases: DataFrame, chunks: DataFrame, local_documents: DataFrame) -> DataFrame:
     """(chunk_version_uid, work_uid, assigned) for every chunk.
 
-    A work takes the split of its component in the graph of all cases, works and issuers: that of the component's
-    cases, and without a case that of a bucket of the component, or of the work where it has no tie. A null work
-    makes each chunk its own.
+    A work takes the split of its component: that of the component's cases, and without a case that of a bucket of
+    the component, or of the work where it has no tie. A null work makes each chunk its own.
     """
-    placed, nodes, issuers = case_components(agent_cases, chunks, local_documents)
-    wholes = stage(whole_components(nodes, issuers))
-    _, assigned = _placed_whole(placed, wholes)
-    by_work = wholes.where("node like 'w:%'").select(F.expr("substring(node, 3)").alias("work"), "whole").join(assigned, "whole", "left")
+    placed, nodes = case_components(agent_cases, chunks, local_documents)
+    by_work = nodes.where("node like 'w:%'").select(F.expr("substring(node, 3)").alias("work"), "component").join(assign_splits(placed), "component", "left")
     rows = chunks.select("chunk_version_uid", "work_uid", F.lower(F.trim("work_uid")).alias("work")).distinct()
     works = rows.where("work is not null").select("work").distinct().join(by_work, "work", "left")
-    spot = F.pmod(F.xxhash64(F.coalesce("whole", "work")), F.lit(BUCKETS)) / F.lit(float(BUCKETS))
+    spot = F.pmod(F.xxhash64(F.coalesce("component", "work")), F.lit(BUCKETS)) / F.lit(float(BUCKETS))
     hashed = F.when(spot < 0.8, "train").when(spot < 0.9, "validation").otherwise("test")
     works = works.select("work", F.coalesce("assigned", hashed).alias("assigned"))
     alone = F.pmod(F.xxhash64("chunk_version_uid"), F.lit(BUCKETS)) / F.lit(float(BUCKETS))

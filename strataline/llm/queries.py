@@ -13,7 +13,7 @@ from . import budget, crossing, groups, history, leakage, mixing, pieces, repair
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Cases tied to a case of another recorded split."""
-    placed, _, _ = groups.case_components(*(read_table(spark, d, t) for t in ("agent_cases", "chunks", "local_documents")))
+    placed, _ = groups.case_components(*(read_table(spark, d, t) for t in ("agent_cases", "chunks", "local_documents")))
     return groups.split_conflicts(placed)
 
 
@@ -145,16 +145,16 @@ ORACLE: dict[str, str] = {
             SELECT document_uid, arg_max(struct_pack(w := work_uid, s := stock_code), updated_at) AS r FROM local_documents GROUP BY 1
         ), issuers AS (
             SELECT DISTINCT r.w AS work, regexp_extract(r.s, '([0-9]{6})', 1) AS issuer FROM states
-        ), ties AS (
-            SELECT case_id, 'w' || work AS t FROM works
-            UNION SELECT case_id, 'i' || issuer FROM works JOIN issuers USING (work) WHERE issuer NOT IN ('', '000000')
-            UNION SELECT case_id, 's' || snap FROM k WHERE snap NOT IN ('', 'unknown', 'n/a')
+        ), edges AS (
+            SELECT 'c' || case_id AS a, 'w' || work AS b FROM works
+            UNION SELECT 'w' || work, 'i' || issuer FROM issuers WHERE issuer NOT IN ('', '000000')
+            UNION SELECT 'c' || case_id, 's' || snap FROM k WHERE snap NOT IN ('', 'unknown', 'n/a')
         ), step AS (
-            SELECT DISTINCT a.case_id AS a, b.case_id AS b FROM ties a JOIN ties b USING (t)
+            SELECT a, b FROM edges UNION SELECT b, a FROM edges
         ), reach AS (
-            SELECT a, b FROM step UNION SELECT r.a, s.b FROM reach r JOIN step s ON r.b = s.a
+            SELECT 'c' || case_id AS a, 'c' || case_id AS b FROM k UNION SELECT r.a, s.b FROM reach r JOIN step s ON r.b = s.a
         )
-        SELECT DISTINCT r.a AS case_id FROM reach r JOIN k x ON x.case_id = r.a JOIN k y ON y.case_id = r.b
+        SELECT DISTINCT x.case_id FROM reach r JOIN k x ON 'c' || x.case_id = r.a JOIN k y ON 'c' || y.case_id = r.b
         WHERE x.split IN ('train', 'validation', 'test') AND y.split IN ('train', 'validation', 'test') AND x.split <> y.split
     """,
     "p2_found": """

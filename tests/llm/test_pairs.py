@@ -32,12 +32,13 @@ def _components(edges):
     return {frozenset(c) for c in out.values()}
 
 
-@pytest.mark.parametrize("seed", [0, 1])
-def test_components_match_union_find(spark, seed):
+@pytest.mark.parametrize("seed, part", [(0, groups.PART), (1, 4)])
+def test_components_match_union_find(spark, seed, part):
+    """With lists in parts of 4 the hub's list has several."""
     rng = random.Random(seed)
     edges = [(f"n{rng.randrange(60)}", f"k{rng.randrange(45)}") for _ in range(70)] + [(f"p{k}", f"p{k + 1}") for k in range(25)]
     edges += [("hub", f"leaf{k}") for k in range(30)] + edges[:5] + [("solo", "solo")]
-    got = groups.components(spark.createDataFrame([*edges, (None, "x"), ("x", None)], "src string, dst string"))
+    got = groups.components(spark.createDataFrame([*edges, (None, "x"), ("x", None)], "src string, dst string"), part)
     parts = defaultdict(set)
     for r in got.collect():
         parts[r["component"]].add(r["node"])
@@ -75,7 +76,7 @@ def _case_tables(spark):
 
 def test_cases_and_splits(spark):
     agent, chunks, docs = _case_tables(spark)
-    placed, _, _ = groups.case_components(agent, chunks, docs)
+    placed, _ = groups.case_components(agent, chunks, docs)
     # c1-c2 share a work; c3-c4 a snapshot; c9-c11-c12 chain through a demo case; w10 lost its issuer in its last state.
     assert {r[0] for r in groups.split_conflicts(placed).collect()} == {"c1", "c2", "c3", "c4", "c9", "c12"}
     got = groups.splits(agent, chunks, docs).collect()
@@ -91,16 +92,18 @@ def test_cases_and_splits(spark):
 
 def test_works_without_a_case_tie_their_issuers(spark):
     group = "source_group string, base_snapshot_group string, template_family string"
-    agent = spark.createDataFrame([(f"c{k}", 1, "train", (f"w{k}", None, "t"), None) for k in range(40)], f"case_id string, updated_at int, split string, grouping struct<{group}>, evidence_chunks array<string>")
-    # Issuers 0-39 have a case each; work m belongs to all of these, works n40-n79 to issuer 0 and one without a case, works l40-l79 to the latter only; o80 and q80 share two issuers in turn.
-    own = [(f"w{k}", k) for k in range(40)] + [("m", k) for k in range(40)] + [(f"n{k}", i) for k in range(40, 80) for i in (0, k)] + [(f"l{k}", k) for k in range(40, 80)]
+    case = [(f"c{k}", 1, "test" if k == 7 else "train", (f"w{k}", None, "t"), None) for k in range(40)]
+    agent = spark.createDataFrame([*case, ("far", 1, "test", ("elsewhere", None, "t"), None)], f"case_id string, updated_at int, split string, grouping struct<{group}>, evidence_chunks array<string>")
+    # Issuers 0-39 have a case each; work m, without a case, belongs to all of these. Works o80 and q80 share two issuers in turn.
+    own = [(f"w{k}", k) for k in range(40)] + [("m", k) for k in range(40)]
     loose = [x for k in range(80, 160, 2) for x in ((f"o{k}", k), (f"q{k}", k), (f"q{k}", k + 1), (f"r{k}", k + 1))]
     docs = spark.createDataFrame([(f"d{n}", 1, w, f"{600000 + i}") for n, (w, i) in enumerate(own + loose)], "document_uid string, updated_at int, work_uid string, stock_code string")
     chunks = spark.createDataFrame([(w, w) for w in sorted({w for w, _ in own + loose})], "chunk_version_uid string, work_uid string")
     made = {r["chunk_version_uid"]: r["assigned"] for r in groups.chunk_splits(agent, chunks, docs).collect()}
     cases = groups.splits(agent, chunks, docs).collect()
-    assert {made[w] for w, _ in own} == {r["assigned"] for r in cases} and len({made[w] for w, _ in own}) == 1
-    assert not any(r["conflict"] for r in cases) and len({r["component"] for r in cases}) == 40
+    tied = [r for r in cases if r["case_id"] != "far"]
+    assert {made[w] for w, _ in own} == {r["assigned"] for r in tied} and len({made[w] for w, _ in own}) == 1
+    assert all(r["conflict"] for r in tied) and len({r["component"] for r in cases}) == 2 and sum(r["conflict"] for r in cases) == 40
     assert all(made[f"o{k}"] == made[f"q{k}"] == made[f"r{k}"] for k in range(80, 160, 2))
     assert len({made[f"o{k}"] for k in range(80, 160, 2)}) > 1
 
