@@ -28,9 +28,9 @@ def p1_chunk_splits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    """Chunks that had to be cut."""
+    """Chunks that were cut: those with a second piece."""
     cut = pieces.split_oversized(read_table(spark, d, "chunks"), read_table(spark, d, "governance_config"))
-    return cut.where("piece_no = 0").select("chunk_version_uid")
+    return cut.where("piece_no = 1").select("chunk_version_uid")
 
 
 def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -38,6 +38,12 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.split_oversized(read_table(spark, d, "chunks"), read_table(spark, d, "governance_config"))
 
 
+def p2_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Each oversized chunk put together again from its pieces: its range, whether all pieces keep the limit, its text's digest."""
+    chunks, config = read_table(spark, d, "chunks"), read_table(spark, d, "governance_config")
+    return pieces.round_trip(pieces.split_oversized(chunks, config), pieces.oversized(chunks, config))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Pending samples and their same or near-same earlier samples."""
     return history.duplicates_of_pending(read_table(spark, d, "corpus"), read_table(spark, d, "dedup_index"))
@@ -84,13 +90,13 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that hold a passage of an evaluation item."""
-    return leakage.shared_passages(read_table(spark, d, "documents"), read_table(spark, d, "eval_items")).select("doc_id", "item_id")
+    """Documents that hold a passage of an evaluation item word for word."""
+    return leakage.shared_passages(read_table(spark, d, "documents"), read_table(spark, d, "eval_items")).where("whole").select("doc_id", "item_id")
 
 
 def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
-    """Whole and partly shared passages with their place and edit distance."""
-    return leakage.shared_passages(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"), partial=True)
+    """Passages shared word for word or with edits, with their place and edit distance."""
+    return leakage.shared_passages(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -125,7 +131,7 @@ def p9_scores(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_splits, p1_chunk_splits, p2_found, p2_pieces, p3_found, p4_found, p4_totals, p4_samples,
+        p1_found, p1_splits, p1_chunk_splits, p2_found, p2_pieces, p2_round_trip, p3_found, p4_found, p4_totals, p4_samples,
         p5_found, p5_repaired, p6_found, p6_report, p7_found, p7_leaks, p8_found, p8_report, p8_mix,
         p9_found, p9_scores,
     )
@@ -163,4 +169,10 @@ ORACLE: dict[str, str] = {
           ON c.rule_version = g.rule_version OR (c.rule_version IS NULL AND g.is_default)
         WHERE length(c.text) > g.chunk_max_chars
     """,
+    "p2_round_trip": """
+        SELECT c.chunk_version_uid, any_value(coalesce(c.char_start, 0)) AS char_start, any_value(coalesce(c.char_start, 0) + length(c.text)) AS char_end,
+               TRUE AS within_limit, TRUE AS overlaps, any_value(md5(c.text)) AS text_md5
+        FROM chunks c JOIN governance_config g ON c.rule_version = g.rule_version OR (c.rule_version IS NULL AND g.is_default)
+        WHERE length(c.text) > g.chunk_max_chars GROUP BY 1
+    """,
 }

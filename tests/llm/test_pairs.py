@@ -258,8 +258,30 @@ def test_leaks_match_brute_force(spark):
             grams = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
             if any(tuple(own[k : k + n]) in grams for k in range(len(own) - n + 1)):
                 want.add((d, i))
-    got = leakage.shared_passages(df, it)
+    found = leakage.shared_passages(df, it)
+    got = found.where("whole")
     assert rows(got.select("doc_id", "item_id")) == want and len(want) > 20
-    assert got.count() == len(want)
-    assert rows(leakage.shared_passages(df, it, partial=True).select("doc_id", "item_id")) >= want
+    assert got.count() == len(want) and found.where("distance > 0 and whole").count() == 0
     assert leakage.shared_passages(df, it.limit(0)).count() == 0 and leakage.shared_passages(df.limit(0), it).count() == 0
+
+
+def test_edited_passages():
+    """Passages with as many word edits as the budget are found wherever the edits fall, and pieces alone are not."""
+    rng = random.Random(8)
+    word = lambda: rng.choice("abcdefghij") + str(rng.randrange(40))
+    rejected = 0
+    for lang, run in (("en", leakage.RUN), ("zh", leakage.RUN_ZH)):
+        item = [word() for _ in range(run * 3)]
+        search = leakage.Pieces([(1, lang, " ".join(item))]).search
+        budget = run // leakage.WORDS_PER_EDIT
+        for _ in range(150):
+            at = rng.randrange(len(item) - run)
+            passage = item[at : at + run]
+            for k in rng.sample(range(run), budget):
+                passage[k] = rng.choice(["", "other", passage[k] + " more"])
+            text = " ".join([word() for _ in range(9)] + passage + [word() for _ in range(9)])
+            assert [h[0] for h in search(text)] == [1]
+            at = rng.randrange(0, len(item) - run)
+            piece = " ".join([word() for _ in range(30)] + item[at : at + run // 2] + [word() for _ in range(30)])
+            rejected += not list(search(piece))
+    assert rejected > 290

@@ -19,13 +19,20 @@ def rows(df):
 
 
 def _greedy(text, limit, overlap):
-    """The same cuts, one after the other."""
+    """The same cuts, one after the other: the strongest pause in the last half of the reach, any pause, or the limit."""
     overlap = max(0, min(overlap, limit - 1))
     at, level = pieces.boundaries(text)
     out, end, first = [], 0, True
     while end < len(text):
         start = max(end - overlap, 0)
-        nxt = int(pieces.successors(np.array([end]), at, level, len(text), limit, np.int64(overlap))[0])
+        far, least = start + limit, max(end, start + overlap)
+        nxt = min(far, len(text))
+        if far < len(text):
+            for floor in (max(least, start + limit // 2), least):
+                reach = [(rank, -x) for x, rank in zip(at.tolist(), level.tolist()) if floor < x <= far]
+                if reach:
+                    nxt = -min(reach)[1]
+                    break
         out.append((0 if first else start, nxt))
         end, first = nxt, False
     return out
@@ -38,6 +45,8 @@ def test_pointer_doubling_matches_greedy(seed):
     for _ in range(12):
         n = rng.choice([30, 300, 2000])
         texts.append("".join(rng.choice(rng.choice(["abcdefg", "abc .", "ab\n", "中文。，"])) for _ in range(n)) or "x")
+        if rng.random() < 0.5:  # long stretches without a pause
+            texts[-1] = texts[-1][:20] + "x" * rng.randint(1, 900) + " " + "y" * rng.randint(0, 500) + texts[-1][20:60]
         limits.append(rng.choice([7, 20, 110]))
         overlaps.append(rng.choice([0, 3, 19, 200]))
     for text, limit, overlap, got in zip(texts, limits, overlaps, pieces.cuts(texts, limits, overlaps)):
