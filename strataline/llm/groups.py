@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import latest, split_label
-from ..plans.stage import stage
+from ..plans.stage import stage, stage_partitioned
 
 SPLITS = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
 RECORDED = ("train", "validation", "test")
@@ -34,7 +34,7 @@ def _adjacency(edges: DataFrame, part: int) -> tuple[DataFrame, DataFrame]:
     nodes = both.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("n"))
     nodes = nodes.withColumn("parts", (F.col("n") / part).cast("int") + 1)
     placed = both.join(nodes.withColumnRenamed("node", "src"), "src").select("src", F.pmod(F.xxhash64("dst"), "parts").cast("int").alias("part"), "dst", "n")
-    return stage(placed.repartition("src", "part")), nodes
+    return stage_partitioned(placed.repartition("src", "part")), nodes
 
 
 def _beside(nodes: DataFrame, lists: DataFrame) -> DataFrame:

@@ -7,6 +7,10 @@ shingle range into one segment more than the largest bound its class allows; the
 in one whole segment at the same place. Segments are stored by scope, guard, length class and position;
 a new text probes the classes its length can match; each hit is verified by its edit distance.
 
+The index is a folder of two Parquet tables that are only ever appended to: the distinct texts of the history with
+their shingles, and their segments. A batch adds the texts the index does not hold yet and asks for its own; no
+segment of the history is made twice.
+
 Equal texts are one representative with members, so copies cost one row in the index; pairs of samples
 are made from pairs of representatives at the very end.
 """
@@ -18,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.stage import stage
+from ..plans.stage import shared_folder, stage
 from .text import LEAST_CHARS, PRIME, guard, mix64, normalized, sha256_hex, shingles
 
 THRESHOLD = 0.9
@@ -77,51 +81,85 @@ def _classes(n: int, threshold: float) -> range:
 
 
 def segment_rows(reps: DataFrame, *, probe: bool, threshold: float = THRESHOLD) -> DataFrame:
-    """(rep, grp, n, seg): the segments a representative is stored under, or with ``probe`` those it asks for."""
+    """(seg, rep, n): the segments a representative is stored under, or with ``probe`` those it asks for.
+
+    ``seg`` is a hash of the segment, its place, the length class and the group.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rep, grp, size, seg = [], [], [], []
+            rep, count, size, seg = [], [], [], []
             for r, g, values in zip(pdf["rep"], pdf["grp"], pdf["shingles"]):
                 values = np.asarray(values, np.int64)
                 n = len(values)
                 for c in _classes(n, threshold) if probe else (int(length_class(np.array([n]))[0]),):
                     keys = segments(values, segment_count(c, threshold))
-                    rep += [r] * len(keys)
-                    grp += [g] * len(keys)
-                    size += [n] * len(keys)
-                    seg.append(mix64(keys.view(np.uint64) + np.uint64(c + 1)).view(np.int64))
-            yield pd.DataFrame({"rep": rep, "grp": grp, "n": np.array(size, np.int32), "seg": np.concatenate(seg) if seg else np.zeros(0, np.int64)})
-
-    return reps.select("rep", "grp", "shingles").mapInPandas(run, "rep bigint, grp bigint, n int, seg bigint")
-
+                    rep.append(r)
+                    count.append(len(keys))
+                    size.append(n)
+                    seg.append(mix64(mix64(keys.view(np.uint64) + np.uint64(c + 1)) ^ np.array(g, np.int64).view(np.uint64)).view(np.int64))
+            yield pd.DataFrame({
+                "seg": np.concatenate(seg) if seg else np.zeros(0, np.int64), "rep": np.repeat(np.array(rep, np.int64), count), "n": np.repeat(np.array(size, np.int32), count),
+            })
 
-def append_segments(index_path: str, reps: DataFrame, threshold: float = THRESHOLD) -> None:
-    """Appends the segments of new representatives (rep, grp, shingles) to a stored index.
-
-    Rows that a repeated append writes again are harmless: candidates are made distinct before they are verified.
-    """
-    segment_rows(reps, probe=False, threshold=threshold).write.mode("append").parquet(index_path)
+    return reps.select("rep", "grp", "shingles").mapInPandas(run, "seg bigint, rep bigint, n int")
 
 
 def similar_pairs(stored: DataFrame, asked: DataFrame, threshold: float = THRESHOLD, index: DataFrame | None = None) -> DataFrame:
     """(stored, asked) representatives with Jaccard similarity of at least ``threshold``, equal ids left out.
 
-    Both sides have rep, grp and shingles; only rows of one grp are compared. ``index`` are stored segments
-    of ``stored`` read back from append_segments; without it they are made here.
+    Both sides have rep, grp and shingles; only rows of one grp are compared. ``index`` are the stored segments
+    of ``stored``; without it they are made here. Shingles are read for the pairs that share a segment only.
     """
     held = index if index is not None else segment_rows(stored, probe=False, threshold=threshold)
-    probes = segment_rows(asked, probe=True, threshold=threshold)
-    a, b = held.alias("a"), probes.alias("b")
-    hits = a.join(b, (F.col("a.seg") == F.col("b.seg")) & (F.col("a.grp") == F.col("b.grp")) & (F.col("a.rep") != F.col("b.rep")))
+    a, b = held.alias("a"), segment_rows(asked, probe=True, threshold=threshold).alias("b")
     sizes = F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n") - 1e-9
-    pairs = hits.where(sizes).select(F.col("a.rep").alias("stored"), F.col("b.rep").alias("asked")).distinct()
-    left = stored.select(F.col("rep").alias("stored"), F.col("shingles").alias("x"))
-    right = asked.select(F.col("rep").alias("asked"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "stored").join(right, "asked")
+    hits = a.join(b, (F.col("a.seg") == F.col("b.seg")) & (F.col("a.rep") != F.col("b.rep")) & sizes)
+    pairs = stage(hits.select(F.col("a.rep").alias("stored"), F.col("b.rep").alias("asked")).distinct())
+    left = stored.select(F.col("rep").alias("stored"), F.col("grp").alias("g"), F.col("shingles").alias("x"))
+    right = asked.select(F.col("rep").alias("asked"), F.col("grp").alias("h"), F.col("shingles").alias("y"))
+    both = pairs.join(right, "asked").join(left, "stored").where("g = h")
     total = F.size("x") + F.size("y")
     distance = total - 2 * F.size(F.array_intersect("x", "y"))
-    return both.where(distance <= total * ((1 - threshold) / (1 + threshold)) + 1e-9).select("stored", "asked")
+    return both.where(distance <= total * ((1 - threshold) / (1 + threshold)) + 1e-9).select("stored", "asked").distinct()
+
+
+KEY = ["scope", "guard", "normalized_hash"]
+
+
+class SegmentIndex:
+    """The stored index: ``texts`` (rep, grp, scope, guard, normalized_hash, shingles) and ``segments`` (seg, rep, n)."""
+
+    def __init__(self, spark: SparkSession, path: str, threshold: float = THRESHOLD):
+        self.spark, self.path, self.threshold = spark, path.rstrip("/"), threshold
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+
+    def texts(self) -> DataFrame:
+        return self._read("texts", "rep bigint, grp bigint, scope string, guard string, normalized_hash string, shingles array<bigint>")
+
+    def segments(self) -> DataFrame:
+        return self._read("segments", "seg bigint, rep bigint, n int")
+
+    def append(self, texts: DataFrame) -> None:
+        """Adds texts of the columns of ``texts`` that the index does not hold; one row per KEY, each ``rep`` its own.
+
+        Segments are written first: an append that broke off leaves segments without a text, which match nothing and
+        are written again; candidates are made distinct before they are verified.
+        """
+        new = stage(texts.join(self.texts().select(*KEY), KEY, "left_anti"))
+        segment_rows(new, probe=False, threshold=self.threshold).write.mode("append").parquet(f"{self.path}/segments")
+        new.select("rep", "grp", *KEY, "shingles").write.mode("append").parquet(f"{self.path}/texts")
+
+    def similar(self, asked: DataFrame) -> DataFrame:
+        """(scope, guard, normalized_hash of a stored text, asked): stored texts similar to the asked (rep, grp, shingles)."""
+        held = self.texts()
+        pairs = similar_pairs(held, asked, self.threshold, self.segments())
+        return pairs.join(held.select(F.col("rep").alias("stored"), *KEY), "stored").select(*KEY, "asked")
 
 
 def _status(corpus: DataFrame) -> DataFrame:
@@ -147,23 +185,39 @@ def known_samples(corpus: DataFrame, dedup_index: DataFrame) -> tuple[DataFrame,
     return known, held.select("seq", "shingles").unionByName(made.select("seq", "shingles"))
 
 
-def duplicates_of_pending(corpus: DataFrame, dedup_index: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def index_path(spark: SparkSession, source: str) -> str:
+    """Where the index of a source of samples lies in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/segments-{sha256_hex(source)[:16]}"
+
+
+def duplicates_of_pending(corpus: DataFrame, dedup_index: DataFrame, threshold: float = THRESHOLD, path: str | None = None) -> DataFrame:
     """(seq_a, seq_b): for every pending sample the same or near-same samples of lower batches in its scope and guard.
 
-    A sample without scope, batch or text matches nothing. Repeated rows count once.
+    With ``path`` the texts of the history are appended to the index stored there as far as it does not hold them, and
+    the pending ones asked against it; without, they are compared once and nothing is kept. A sample without scope,
+    batch or text matches nothing. Repeated rows count once.
     """
     known, sets = known_samples(corpus, dedup_index)
     samples = stage(known.where("scope is not null and batch_no is not null and guard is not null").dropDuplicates(["seq"]))
-    key = ["scope", "guard", "normalized_hash"]
-    classes = stage(samples.groupBy(*key).agg(F.min("seq").alias("rep"), F.max("pending").alias("asked"), F.max("chars").alias("chars")))
-    # Only where a group of scope and guard holds a pending sample and a second text, sets need to be compared.
+    classes = stage(samples.groupBy(*KEY).agg(F.min("seq").alias("rep"), F.max("pending").alias("asked"), F.min("pending").alias("new"), F.max("chars").alias("chars")))
+    grp = F.xxhash64("scope", "guard").alias("grp")
     long = classes.where(F.col("chars") >= LEAST_CHARS)
-    open_groups = long.groupBy("scope", "guard").agg(F.count(F.lit(1)).alias("n"), F.max("asked").alias("any")).where("n > 1 and any").select("scope", "guard")
-    compared = long.join(open_groups, ["scope", "guard"], "left_semi").select(F.col("rep").alias("seq"), F.xxhash64("scope", "guard").alias("grp"), "asked")
-    reps = stage(sets.join(compared, "seq").select(F.col("seq").alias("rep"), "grp", "asked", "shingles"))
-    near = similar_pairs(reps, reps.where("asked"), threshold)
+    if path is not None:
+        index = SegmentIndex(corpus.sparkSession, path, threshold)
+        fresh = long.where("not new").join(index.texts().select(*KEY), KEY, "left_anti")
+        index.append(sets.join(fresh.select(F.col("rep").alias("seq"), grp, *KEY), "seq").withColumnRenamed("seq", "rep"))
+        asked = stage(sets.join(long.where("asked").select(F.col("rep").alias("seq"), grp), "seq").select(F.col("seq").alias("rep"), "grp", "shingles"))
+        # A text of the index that the history no longer holds, such as a rejected one, has no class and drops out.
+        old = index.similar(asked).join(classes.select(*KEY, F.col("rep").alias("stored")), KEY).where("stored <> asked").select("stored", "asked")
+        near = old.unionByName(similar_pairs(asked, asked, threshold)).distinct()
+    else:
+        # Only where a group of scope and guard holds a pending sample and a second text, sets need to be compared.
+        open_groups = long.groupBy("scope", "guard").agg(F.count(F.lit(1)).alias("n"), F.max("asked").alias("any")).where("n > 1 and any").select("scope", "guard")
+        compared = long.join(open_groups, ["scope", "guard"], "left_semi").select(F.col("rep").alias("seq"), grp, "asked")
+        reps = stage(sets.join(compared, "seq").select(F.col("seq").alias("rep"), "grp", "asked", "shingles"))
+        near = similar_pairs(reps, reps.where("asked"), threshold)
     links = near.unionByName(classes.where("asked").select(F.col("rep").alias("stored"), F.col("rep").alias("asked")))
-    members = samples.select("seq", "batch_no", "pending", *key).join(classes.select(*key, "rep"), key).select("seq", "batch_no", "pending", "rep")
+    members = samples.select("seq", "batch_no", "pending", *KEY).join(classes.select(*KEY, "rep"), KEY).select("seq", "batch_no", "pending", "rep")
     a = members.select(F.col("rep").alias("stored"), F.col("seq").alias("seq_a"), F.col("batch_no").alias("batch_a"))
     b = members.where("pending").select(F.col("rep").alias("asked"), F.col("seq").alias("seq_b"), F.col("batch_no").alias("batch_b"))
     return links.join(b, "asked").join(a, "stored").where("batch_a < batch_b").select("seq_a", "seq_b")

@@ -45,8 +45,9 @@ def p2_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """Pending samples and their same or near-same earlier samples."""
-    return history.duplicates_of_pending(read_table(spark, d, "corpus"), read_table(spark, d, "dedup_index"))
+    """Pending samples and their same or near-same earlier samples, asked against the stored index of the history."""
+    corpus, index = read_table(spark, d, "corpus"), read_table(spark, d, "dedup_index")
+    return history.duplicates_of_pending(corpus, index, path=history.index_path(spark, d))
 
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:
