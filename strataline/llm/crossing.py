@@ -18,36 +18,43 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import label, latest, split_label
 from ..plans.stage import stage
-from .text import LEAST_CHARS, mix64, normalized, sha256_hex, window_hashes
+from .text import LEAST_CHARS, mix64, normalized, sha256_hex, window_sets
 
 THRESHOLD = 0.8
 ROWS, BANDS = 7, 50
 EVALUATION = ("validation", "test")
 
-_FILL = mix64(np.arange(ROWS * BANDS * 64, dtype=np.uint64)).reshape(64, -1) % np.uint64(ROWS * BANDS)
+_FILL = (mix64(np.arange(ROWS * BANDS * 64, dtype=np.uint64)).reshape(64, -1) % np.uint64(ROWS * BANDS)).astype(np.int64)
+#: Texts hashed together.
+TOGETHER = 256
 
 
-def bands(values: np.ndarray) -> np.ndarray:
-    """BANDS hashes of ROWS minima each over a set of sorted 64-bit hashes.
+def bands(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of BANDS hashes of ROWS minima each for every set of sorted 64-bit hashes.
 
     One hash per value: the range of hashes is cut into one bin per minimum, and the least hash in a bin is its
     minimum. An empty bin takes over that of a bin fixed by its number and the trial, so equal sets fill alike.
     """
     bins = ROWS * BANDS
-    at = ((values >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(v) for v in sets])
+    at = owner * bins + ((values >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
     first = np.flatnonzero(np.diff(at, prepend=-1))
-    low, full = np.zeros(bins, np.uint64), np.zeros(bins, bool)
+    low = np.zeros(len(sets) * bins, np.uint64)
+    full = np.zeros(len(low), bool)
     low[at[first]], full[at[first]] = values[first], True
-    source = np.where(full, np.arange(bins), -1)
-    for trial in _FILL.astype(np.int64):
-        empty = np.flatnonzero(source < 0)
-        if not len(empty):
+    low, full = low.reshape(-1, bins), full.reshape(-1, bins)
+    own, done = low.copy(), full.copy()
+    for trial in _FILL:
+        if done.all():
             break
-        source[empty] = np.where(full[trial[empty]], trial[empty], -1)
-    source[source < 0] = at[first[0]]
-    out = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for row in low[source].reshape(BANDS, ROWS).T:
-        out = mix64(out * np.uint64(0x100000001B3) + row)
+        take = full[:, trial] & ~done
+        low = np.where(take, own[:, trial], low)
+        done |= take
+    low = np.where(done, low, np.array([v[0] for v in sets], np.uint64)[:, None])
+    out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sets), BANDS))
+    for row in range(ROWS):
+        out = mix64(out * np.uint64(0x100000001B3) + low[:, row::ROWS])
     return out.view(np.int64)
 
 
@@ -74,13 +81,13 @@ def _band_rows(reps: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sets = [window_hashes(t) for t in pdf["norm"]]
-            keys = [bands(v) for v in sets]
-            yield pd.DataFrame({
-                "band": np.concatenate(keys) if keys else np.zeros(0, np.int64), "rep": np.repeat(pdf["rep"].to_numpy(np.int64), BANDS),
-                "n": np.repeat(np.array([len(v) for v in sets], np.int32), BANDS), "train": np.repeat(pdf["train"].to_numpy(bool), BANDS),
-                "evaluation": np.repeat(pdf["evaluation"].to_numpy(bool), BANDS),
-            })
+            for k in range(0, len(pdf), TOGETHER):
+                part = pdf.iloc[k : k + TOGETHER]
+                sets = window_sets(part["norm"].tolist())
+                yield pd.DataFrame({
+                    "band": bands(sets).ravel(), "rep": np.repeat(part["rep"].to_numpy(np.int64), BANDS), "n": np.repeat(np.array([len(v) for v in sets], np.int32), BANDS),
+                    "train": np.repeat(part["train"].to_numpy(bool), BANDS), "evaluation": np.repeat(part["evaluation"].to_numpy(bool), BANDS),
+                })
 
     return reps.select("rep", "train", "evaluation", "norm").mapInPandas(run, "band bigint, rep bigint, n int, train boolean, evaluation boolean")
 
@@ -88,13 +95,13 @@ def _band_rows(reps: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            kept = []
-            for x, y in zip(pdf["x"], pdf["y"]):
-                a, b = window_hashes(x), window_hashes(y)
-                short, long = sorted((len(a), len(b)))
-                both = len(np.intersect1d(a, b, assume_unique=True)) if short >= threshold * long else 0
-                kept.append(both >= threshold * (len(a) + len(b) - both))
-            yield pdf.loc[np.array(kept, bool), ["eval_rep", "train_rep"]]
+            for k in range(0, len(pdf), TOGETHER):
+                part = pdf.iloc[k : k + TOGETHER]
+                kept = []
+                for a, b in zip(window_sets(part["x"].tolist()), window_sets(part["y"].tolist())):
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    kept.append(both >= threshold * (len(a) + len(b) - both))
+                yield part.loc[np.array(kept, bool), ["eval_rep", "train_rep"]]
 
     return pairs.mapInPandas(run, "eval_rep bigint, train_rep bigint")
 

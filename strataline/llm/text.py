@@ -50,14 +50,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def window_hashes(text: str, size: int = WINDOW) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the character windows, for sets made and compared here only."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = len(codes) - size + 1
-    if n <= 1:
-        n, size = 1, len(codes)
-    h = np.zeros(n, np.uint64)
+def window_sets(texts: list[str], size: int = WINDOW) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the character windows of each text, for sets made and compared here only.
+
+    The texts of a batch are hashed as one run of characters; windows over a border are left out. A text shorter than a
+    window is one window.
+    """
+    lengths = np.array([len(t) for t in texts], np.int64)
+    # Borders are padded, so that even the last text has whole windows.
+    codes = np.frombuffer(("".join(texts) + "\0" * size).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    h = np.zeros(len(codes) - size + 1, np.uint64)
     for k in range(size):
-        h = h * np.uint64(0x100000001B3) + codes[k : k + n] + np.uint64(1)
-        h = mix64(h)
-    return np.unique(h)
+        h = mix64(h * np.uint64(0x100000001B3) + codes[k : k + len(h)] + np.uint64(1))
+    ends = np.cumsum(lengths)
+    out = []
+    for text, first, n in zip(texts, (ends - lengths).tolist(), lengths.tolist()):
+        if n < size:
+            v = np.uint64(n)
+            for c in text:
+                v = mix64(np.array([v * np.uint64(0x100000001B3) + np.uint64(ord(c) + 1)], np.uint64))[0]
+            out.append(np.array([v], np.uint64))
+        else:
+            out.append(np.unique(h[first : first + n - size + 1]))
+    return out
