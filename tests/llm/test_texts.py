@@ -242,6 +242,7 @@ def test_stuffed_pages(spark):
         2: ", ".join(rng.choice(["cheap", "best", "top"]) + " " + rng.choice(["loan", "watch", "shoe"]) for _ in range(120)),
         3: "Tags: " + " ".join(f"#tag{k}word" for k in range(60)),
         4: "贷款保险" * 80,
+        6: "best loan, cheap loan, best loan, top loan, cheap loan, best loan, top loan, best loan",  # short pages are judged too
         5: "\n".join(f"ABC-{k}  fast sofa  {k}.50  in stock" for k in range(40)),
         10: _prose(rng, 20),
         11: _prose(rng, 6) + "\n\n| row | 1.5 | 20 |\n" + "\n".join(f"| name{k} | {k}.5 | {k} |" for k in range(60)),
@@ -252,7 +253,7 @@ def test_stuffed_pages(spark):
     df = spark.createDataFrame([*pages.items(), (None, pages[1])], "doc_id long, text string").withColumn("stuffed", F.lit("clash"))
     got = {r["doc_id"]: r["stuffed"] for r in stuffing.page_scores(df, prose).collect()}
     assert set(got) == set(pages)
-    assert [k for k in (1, 2, 3, 4, 5) if not got[k]] == [] and [k for k in (10, 11, 12, 13, 14, 15, 16, 18) if got[k]] == []
+    assert [k for k in (1, 2, 3, 4, 5, 6) if not got[k]] == [] and [k for k in (10, 11, 12, 13, 14, 15, 16, 18) if got[k]] == []
     assert stuffing.page_scores(df.limit(0), prose).count() == 0
     assert stuffing.page_scores(df.where("doc_id = 10"), []).count() == 1
     corpus = spark.createDataFrame([("a", "t1", "accepted"), ("a", "t1", "accepted"), ("b", None, "accepted"), ("c", "t2", "pending")], "sample_id string, text string, status string")
