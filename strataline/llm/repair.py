@@ -1,67 +1,30 @@
 """Noise in text from scanned pages (problem 5).
 
-One pass counts all words, the surroundings of easily confused Chinese characters and short lines over the
-whole corpus in a table of fixed size. An averaged perceptron edits characters: at each place where a usual
-misreading may be undone, and at each hyphen before a line end, it predicts keep, replace, delete, insert or
-join from the counts before and after the edit, the kind of misreading and the neighbours. A second one
-tells page furniture from text by the form of a line, its place on the page and the page's number. Both
-are trained on damage laid over a bounded sample of clean chunks.
+Which words, characters and line-end hyphens are damaged is decided per distinct key of the corpus (see misreadings);
+the texts are then read once more, and only their uncommon keys meet the table of damaged ones. A second averaged
+perceptron tells page furniture from text by the form of a line, its place on the page, the page's number and the kind
+of the chunk; it is trained on furniture laid over a bounded sample of clean chunks.
 """
 
 from __future__ import annotations
 
 import random
 import re
-from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .misreadings import HYPHEN, LOST, WORD, break_key, damaged_keys, surrounded, unbroken
 from .perceptron import AveragedPerceptron
 
-#: Slots of each of the two rows of the count table.
-SLOTS = 1 << 21
 #: Chunks without signs of damage that the models are trained on, at most.
-SAMPLE = 2500
-#: An edit must lead to a key at least 4 times as frequent.
-LEAST_GAIN = 4
-#: From this gain on (64 times as frequent) a long word of the sample is taken for a misreading.
-SUSPECT_GAIN = 12
-#: Words longer than this are codes and are neither counted nor edited.
-LONGEST_WORD = 40
-
-# Usual misreadings in Latin script, as read > as printed.
-MISREAD = r"""
-0>o 1>l 1>i l>i i>l c>e e>c b>h h>b 5>s 6>é 6>b 6>ó 8>b 9>g q>g 4>a 7>t rn>m m>rn ri>n n>ri ii>u u>ii ii>ü cl>d d>cl
-li>h h>li \/>v vv>w w>vv nn>m fi>ti tl>d
-"""
-# Chinese characters of like shape; either may be read for the other.
-LIKE = """
-期朋 利刊 未末 收牧 值直 同冋 天夭 业亚 大犬 金釜 料科 日曰 已己 土士 人入 干千 王玉 目自 白自 贝见 问间 候侯 拔拨 住往
-今令 免兔 刀力 午牛 甲申 季李 旬句 折拆 治冶 元无 市巿 账帐 来米 本木 比此 股般 公么 司可 月用 年午 司同 品晶 名各 全金 分兮 东乐
-"""
-_PAIRS = [tuple(p.split(">")) for p in MISREAD.split()]
-_BY_WRONG: dict[str, list[str]] = {}
-for _wrong, _right in _PAIRS:
-    _BY_WRONG.setdefault(_wrong, []).append(_right)
-_SHAPES: dict[str, list[str]] = {}
-for _a, _b in LIKE.split():
-    _SHAPES.setdefault(_a, []).append(_b)
-    _SHAPES.setdefault(_b, []).append(_a)
-LOST = "�"
-#: Content types whose lines have the forms of furniture by nature.
-NO_FURNITURE = ("table", "formula", "caption", "reference")
-_LETTERS = "aeioutnrslcdmpgbhfvkyzwjxqáàâäéèêëíîïóôöúùûüñçß"
+SAMPLE = 5000
+#: The most frequent sound keys, at most, that texts need not ask about.
+COMMON = 100_000
 
 _HAN = "㐀-鿿"
-_WORD = re.compile(rf"(?:[^\W_{_HAN}]|{LOST}|\\/)+")
-_HYPHEN = re.compile(f"(?<![^\\W\\d_])([^\\W\\d_{_HAN}]+)([-‐¬­])[ \\t]?\\n[ \\t]?([^\\W\\d_{_HAN}]+)")
-_SHAPE_AT = re.compile(f"[{''.join(_SHAPES)}]")
-_HAN_BREAK = re.compile(f"(?<=[{_HAN}，、])\\n(?=[{_HAN}])")
 _STOP = ".!?。！？;；:：,，、|"
 _NUMBERED = re.compile(
     r"^(?:[-–—·•*]\s*\d{1,4}\s*[-–—·•*]|\[\s?\d{1,4}\s?\]|\(\s?\d{1,4}\s?\)|\d{1,4}\s*/\s*\d{1,4}|\d{1,4}"
@@ -76,231 +39,29 @@ _CAPTION = re.compile(r"[^\W\d]+\.? ?\d{1,4}[ .:]+\S")
 _NUMBER_ENDS = "0123456789])-–—·•*页"
 
 
-class Counts:
-    """Logarithmic counts of keys in two hashed rows of fixed size; a key has the lesser of its two."""
-
-    def __init__(self, levels: np.ndarray):
-        self.levels = levels
-        self.memo: dict[str, int] = {}
-        #: From here on a word is too common to be a misreading of another: 1/64 of the most common key.
-        self.common = int(levels.max(initial=0)) - 12
-
-    def level(self, key: str) -> int:
-        """About twice the binary logarithm of a count; 0 for none."""
-        got = self.memo.get(key)
-        if got is None:
-            if len(self.memo) > 1_000_000:
-                self.memo.clear()
-            a, b = slots(key)
-            got = self.memo[key] = int(min(self.levels[a], self.levels[b]))
-        return got
-
-
-def slots(key: str) -> tuple[int, int]:
-    h = xxhash.xxh3_64_intdigest(key.encode("utf-8", "surrogatepass"))
-    return h & SLOTS - 1, (h >> 32 & SLOTS - 1) + SLOTS
-
-
-def unbroken(text: str) -> str:
-    """Chinese lines run together, for they break anywhere."""
-    return _HAN_BREAK.sub("", text)
-
-
-def around(text: str, at: int, char: str) -> tuple[str, str, str]:
-    """Keys of a character in its surroundings: with both neighbours, the one before, the one after."""
-    before, after = text[at - 1 : at], text[at + 1 : at + 2]
-    return "3" + before + char + after, "2" + before + char, "1" + char + after
-
-
-def counted(text: str) -> list[str]:
-    """The keys a text adds to the counts."""
-    flat = unbroken(text)
-    keys = [w for w in _WORD.findall(flat.lower()) if len(w) <= LONGEST_WORD]
-    for m in _SHAPE_AT.finditer(flat):
-        keys += around(flat, m.start(), m[0])
-    return keys
-
-
-def count_table(chunks: DataFrame) -> np.ndarray:
-    """Levels of all slots over all texts. Tasks send one row per used slot; the driver gets at most 2 x SLOTS numbers."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[str] = Counter()
-
-        def flush() -> pd.DataFrame:
-            at = np.array([s for k in seen for s in slots(k)], np.int32)
-            n = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), 2)
-            seen.clear()
-            return pd.DataFrame({"slot": at, "n": n})
-
-        for pdf in batches:
-            texts = pdf["text"].tolist()
-            for k in range(0, len(texts), 200):
-                seen.update(counted("\n\n".join(texts[k : k + 200])))
-                if len(seen) > 400_000:
-                    yield flush()
-        yield flush()
-
-    rows = chunks.where("text is not null").select("text").mapInPandas(run, "slot int, n bigint")
-    sums = rows.groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1").select("slot", F.least("n", F.lit(2**31 - 1)).cast("int").alias("n"))
-    got = sums.toPandas()
-    levels = np.zeros(2 * SLOTS, np.uint8)
-    levels[got["slot"].to_numpy()] = np.floor(2 * np.log2(got["n"].to_numpy().astype(float))).astype(np.uint8)
-    return levels
-
-
-# -- characters ---------------------------------------------------------------------------------------------------
-
-
-def edits(word: str) -> list[tuple[int, str, str, str]]:
-    """(place, as read, as printed, word after the edit) for every misreading that a lower-case word may hold."""
-    out = []
-    for k, char in enumerate(word):
-        if char == LOST:
-            out += [(k, char, x, word[:k] + x + word[k + 1 :]) for x in _LETTERS]
-            continue
-        for wrong in (char, word[k : k + 2]):
-            if len(wrong) == 1 or len(wrong) == 2:
-                for right in _BY_WRONG.get(wrong, ()):
-                    out.append((k, wrong, right, word[:k] + right + word[k + len(wrong) :]))
-            if len(word) == 1:
-                break
-    return list(dict.fromkeys(out))
-
-
-def _operation(wrong: str, right: str) -> str:
-    return "replace" if len(wrong) == len(right) else "delete" if len(wrong) > len(right) else "insert"
-
-
-def _bin(x: int) -> int:
-    return x if x < 6 else 6 + (x - 6) // 3
-
-
-def edit_features(word: str, place: int, wrong: str, right: str, before: int, after: int, steps: int) -> list[str]:
-    """What the editor sees of one possible edit: counts, the misreading, the neighbours."""
-    gain = max(-4, min(20, after - before))
-    mixed = any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
-    around_ = (word[place - 1 : place].isalpha(), word[place + len(wrong) : place + len(wrong) + 1].isalpha())
-    kind = "lost" if wrong == LOST else "digit" if wrong[0].isdigit() else "letter"
-    return [
-        "one", f"gain{gain}", f"before{_bin(before)}", f"after{_bin(after)}", f"g{gain // 3}b{_bin(before)}", f"kind{kind}", f"kind{kind}a{_bin(after)}",
-        f"op{_operation(wrong, right)}", f"pair{wrong}>{right}" if wrong != LOST else "pairlost", f"mixed{mixed}k{kind}a{after > 5}",
-        f"near{around_}", f"len{min(len(word), 12)}", f"steps{steps}g{gain // 3}",
-    ]
-
-
-class Editor:
-    """The trained editor of characters."""
-
-    def __init__(self, counts: Counts, model: AveragedPerceptron):
-        self.counts, self.model, self.memo = counts, model, {}
-        self.sound: set[str] = set()  # words that need no edit
-
-    def candidates(self, word: str) -> list[tuple[str, int, str, str, int]]:
-        """(word after, place, as read, as printed, steps): the most frequent results of one edit, else of two."""
-        level = self.counts.level
-        one = edits(word)
-        best = sorted(((level(e[3]), e) for e in one), key=lambda x: -x[0])[:3]
-        if best and best[0][0] > level(word) + 4 or len(word) < 5:
-            return [(e[3], *e[:3], 1) for n, e in best]
-        two = []
-        if any(c.isdigit() or c == LOST for c in word) or len(one) <= 24:
-            for e in one[:60]:
-                for f in edits(e[3]):
-                    n = level(f[3])
-                    if n > 6:
-                        two.append((n, (f[3], *e[:3], 2)))
-        two.sort(key=lambda x: -x[0])
-        return [(e[3], *e[:3], 1) for n, e in best[:2]] + [c for _, c in two[:1]]
-
-    def fixed(self, word: str) -> str:
-        """The word as it was printed; a word that needs no edit comes back as it is."""
-        got = self.memo.get(word)
-        if got is None:
-            if len(self.memo) > 500_000:
-                self.memo.clear()
-                self.sound.clear()
-            got = self.memo[word] = self._fix(word)
-            if got == word and LOST not in word:
-                self.sound.add(word)
-        return got
-
-    def _fix(self, word: str) -> str:
-        low = word.lower()
-        if len(low) > LONGEST_WORD or low.isdigit() or (len(low) < 3 and LOST not in low):
-            return word
-        before = self.counts.level(low)
-        if before >= self.counts.common > 0:
-            return word
-        best, lead = None, 0.0
-        for after, place, wrong, right, steps in self.candidates(low):
-            gain = self.counts.level(after) - before
-            if gain < LEAST_GAIN and wrong != LOST:
-                continue
-            op, score = self.model.predict(edit_features(low, place, wrong, right, before, before + gain, steps))
-            if op != "keep" and score > lead:
-                best, lead = after, score
-        if best is None:
-            return word
-        return best.upper() if word.isupper() and len(word) > 1 else best[:1].upper() + best[1:] if word[:1].isupper() else best
-
-    def joins(self, left: str, mark: str, right: str) -> bool:
-        """Whether a hyphen before a line end broke a word that is written without one."""
-        return self.model.predict(self.join_features(left, mark, right))[0] == "join"
-
-    def join_features(self, left: str, mark: str, right: str) -> list[str]:
-        level = self.counts.level
-        whole = (left + right).lower()
-        n = max(level(whole), level(self.fixed(whole).lower()))
-        a, b = level(left.lower()), level(right.lower())
-        return ["hyphen", f"joingain{max(-6, min(6, (n - min(a, b)) // 4))}", f"whole{_bin(n)}", f"wholeknown{n > 4}", f"parts{min(a, b) // 4}w{n > 4}", f"mark{mark in '-‐'}", f"mark{mark in '-‐'}p{min(a, b) > 8}w{n > 4}", f"lower{right[0].islower()}"]
-
-    def han_edits(self, flat: str) -> list[tuple[int, str]]:
-        """(place, as printed) of the misread Chinese characters of an unbroken text."""
-        out, level = [], self.counts.level
-        usual = max(LEAST_GAIN, self.counts.common - 6)  # both neighbours at home: no misreading
-        for m in _SHAPE_AT.finditer(flat):
-            k, char = m.start(), m[0]
-            if not ("㐀" <= flat[k - 1 : k] <= "鿿" or "㐀" <= flat[k + 1 : k + 2] <= "鿿"):
-                continue
-            keys = around(flat, k, char)
-            if level(keys[1]) >= usual and level(keys[2]) >= usual:
-                continue
-            was = [level(key) for key in keys]
-            best, lead = "", 0.0
-            for right in _SHAPES[char]:
-                now = [level(key) for key in around(flat, k, right)]
-                if max(now[1] - was[1], now[2] - was[2]) < LEAST_GAIN:
-                    continue
-                op, score = self.model.predict(_han_features(was, now))
-                if op != "keep" and score > lead:
-                    best, lead = right, score
-            if best:
-                out.append((k, best))
-        return out
-
-
-def _han_features(was: list[int], now: list[int]) -> list[str]:
-    gains = [max(-4, min(20, b - a)) for a, b in zip(was, now)]
-    return [
-        "han", *(f"han{i}g{g}" for i, g in enumerate(gains)), f"hanworst{min(gains[1:])}", f"hanbest{max(gains[1:])}",
-        f"hanwas{_bin(max(was[1:]))}", f"han3{_bin(now[0])}w{_bin(was[0])}", f"hansum{sum(gains[1:]) // 2}",
-    ]
-
 
 # -- lines --------------------------------------------------------------------------------------------------------
 
 
-def line_features(line: str, before: str, after: str, place: str, page: int | None, title: str) -> list[str] | None:
-    """What the furniture model sees of a line; None for lines that cannot be furniture by their form."""
+def line_features(line: str, before: str, after: str, place: str, page: int | None, title: str, kind: str) -> list[str] | None:
+    """What the furniture model sees of a line; None for lines that are no furniture by their form.
+
+    These are blank lines, headings, table rows and quotes with their marks, lines that end a sentence which the line
+    before began, and, without a page number of its own, lines that end or begin as a part of a sentence.
+    """
     s = line.strip()
-    if not s or len(s) > 100 or s[0] in "#|>" or s[-1] in _STOP or (s[0].islower() and len(s) > 12):
+    if not s or s[0] in "#|>":
         return None
+    ended = s[-1] in _STOP
+    if ended:
+        s = s.rstrip(_STOP + " ")
+        if not s or (before.strip() and before.strip()[-1] not in ".!?。！？") or (not _NUMBERED.match(s) and not _JOINT.search(s)):
+            return None
     numbered = s[-1] in _NUMBER_ENDS and _NUMBERED.match(s)
     parts = [p for p in _JOINT.split(s) if p.strip()]
     number = s if numbered else next((p for p in parts if _NUMBERED.match(p.strip())), "") if len(parts) > 1 else ""
     rest = "" if numbered else " ".join(p for p in parts if p is not number) if number else s
-    if not number and (s[0].islower() or s[0] in "-–—•*·“\"'("):
+    if not number and (ended or s[0].islower() or s[0] in "-–—•*·“\"'("):
         return None
     if not number and (any(c in s for c in "，。；") or s[-1] in "-‐¬­"):
         return None
@@ -320,7 +81,7 @@ def line_features(line: str, before: str, after: str, place: str, page: int | No
     han = bool(re.search(f"[{_HAN}]", rest))
     size = min(len(rest) // 8, 8)
     return [
-        "line", f"number{has_number}", f"number{has_number}{near}", f"near{near}", f"place{place}", f"free{free}", f"free{free}n{has_number}",
+        "line", f"ended{ended}n{has_number}", f"kind{kind}n{has_number}", f"kind{kind}", f"number{has_number}", f"number{has_number}{near}", f"near{near}", f"place{place}", f"free{free}", f"free{free}n{has_number}",
         f"titled{titled > 0.55}y{yearly}n{has_number}", f"upper{rest.isupper()}w{len(words) > 1}", f"words{min(len(words), 8)}h{han}", f"size{size}h{han}",
         f"heading{heading}n{has_number}", f"yearly{yearly}", f"yearly{yearly}place{place}", f"open{open_before}n{has_number}",
         f"known{rest.lower() in heads[:1]}", f"comma{bool(re.search('[,，。;；]|[.] ', rest))}", f"captioned{bool(_CAPTION.match(rest))}n{has_number}", f"edge{place}t{titled > 0.55}n{has_number}y{yearly}free{free}",
@@ -340,15 +101,14 @@ def _places(lines: list[str]) -> list[str]:
     return out
 
 
-def furniture_lines(text: str, page: int | None, title: str, model: AveragedPerceptron) -> list[int]:
+def furniture_lines(text: str, page: int | None, title: str, kind: str, model: AveragedPerceptron) -> list[int]:
     """Numbers of the lines of a text that are running headers, footers or page numbers."""
     lines = text.split("\n")
     places, out = _places(lines), []
     for k, line in enumerate(lines):
-        f = line_features(line, lines[k - 1] if k else "", lines[k + 1] if k + 1 < len(lines) else "", places[k], page, title)
+        f = line_features(line, lines[k - 1] if k else "", lines[k + 1] if k + 1 < len(lines) else "", places[k], page, title, kind)
         if f and model.predict(f)[0] == "furniture":
             out.append(k)
-    # A running title beside a page number line is furniture with it, and only then if it is no heading.
     return out
 
 
@@ -374,57 +134,11 @@ def _furniture(rng: random.Random, page: int, title: str, name: str) -> list[str
     return [text + joint + number if form == 4 else number + joint + text]
 
 
-
-def train(counts: Counts, sample: list[tuple[str, int | None, str]], seed: int = 5) -> tuple[AveragedPerceptron, AveragedPerceptron]:
-    """(character model, line model) from clean (text, page, title_context) with damage laid over them."""
+def train_lines(sample: list[tuple[str, int | None, str, str]], seed: int = 5) -> AveragedPerceptron:
+    """The line model from clean (text, page, title_context, content_type) with furniture laid over them."""
     rng = random.Random(seed)
-    editor = Editor(counts, AveragedPerceptron(("keep", "replace", "delete", "insert", "join")))
-    examples: list[tuple[list[str], str]] = []
-    vocabulary = sorted({w for t, _, _ in sample for w in _WORD.findall(t) if 3 <= len(w) <= LONGEST_WORD and not w.isdigit()})
-    rng.shuffle(vocabulary)
-    by_right: dict[str, list[str]] = {}
-    for wrong, right in _PAIRS:
-        by_right.setdefault(right, []).append(wrong)
-    for word in vocabulary[:6000]:
-        low = word.lower()
-        before = counts.level(low)
-        for after, place, wrong, right, steps in editor.candidates(low)[:3]:
-            # The sample is not free of misreadings; a long word far below its neighbour teaches nothing.
-            if len(low) < 6 or counts.level(after) - before < SUSPECT_GAIN:
-                examples.append((edit_features(low, place, wrong, right, before, counts.level(after), steps), "keep"))
-        if before < 6:
-            continue
-        spots = [(k, r) for k in range(len(low)) for r in (low[k], low[k : k + 2]) if r in by_right]
-        for _ in range(min(2, len(spots))):
-            k, right = rng.choice(spots)
-            wrong = rng.choice(by_right[right]) if rng.random() > 0.1 else LOST * len(right)
-            bad = low[:k] + wrong + low[k + len(right) :]
-            # A misreading recurs, so its own count is anything well below that of the word.
-            level = max(counts.level(bad), rng.choice((0, rng.randint(0, 6), rng.randint(0, max(0, before - 8)))))
-            for after, place, w, r, steps in editor.candidates(bad):
-                truth = _operation(w, r) if after == low else "keep"
-                examples.append((edit_features(bad, place, w, r, level, counts.level(after), steps), truth))
-        if len(low) > 5 and low.isalpha():
-            cut = rng.randint(2, len(low) - 2)
-            examples.append((editor.join_features(low[:cut], rng.choice("-‐¬­"), low[cut:]), "join"))
-    for text, _, _ in sample:
-        for m in re.finditer(f"([^\\W\\d_{_HAN}]+)-([^\\W\\d_{_HAN}]+)", text):
-            if rng.random() < 0.3:
-                examples.append((editor.join_features(m[1], rng.choice("--‐"), m[2]), "keep"))
-        flat = unbroken(text)
-        for m in _SHAPE_AT.finditer(flat):
-            k, char = m.start(), m[0]
-            if not ("㐀" <= flat[k - 1 : k] <= "鿿" or "㐀" <= flat[k + 1 : k + 2] <= "鿿") or rng.random() > 0.3:
-                continue
-            was = [counts.level(key) for key in around(flat, k, char)]
-            for other in _SHAPES[char]:
-                now = [counts.level(key) for key in around(flat, k, other)]
-                examples.append((_han_features(was, now), "keep"))
-                if max(was[1:]) > max(now[1:]) + 2:
-                    examples.append((_han_features(now, was), "replace"))
-    editor.model.train(examples)
     lines: list[tuple[list[str], str]] = []
-    for text, page, title in sample:
+    for text, page, title, kind in sample:
         rows = text.split("\n")
         heads = [x for x in title.split(" > ") if x] or ["Notes"]
         page = page if page is not None else rng.randint(1, 30)
@@ -437,30 +151,26 @@ def train(counts: Counts, sample: list[tuple[str, int | None, str]], seed: int =
             rows = rows[:spot] + [""] * pad + made + [""] * pad + rows[spot:]
         places = _places(rows)
         for k, line in enumerate(rows):
-            f = line_features(line, rows[k - 1] if k else "", rows[k + 1] if k + 1 < len(rows) else "", places[k], page, title)
+            f = line_features(line, rows[k - 1] if k else "", rows[k + 1] if k + 1 < len(rows) else "", places[k], page, title, kind)
             if f:
                 lines.append((f, "furniture" if line in made else "text"))
         if heads and rng.random() < 0.3:  # a heading that stands without its mark
-            f = line_features(heads[-1], "", "", rng.choice(["first", "mid"]), page, title)
+            f = line_features(heads[-1], "", "", rng.choice(["first", "mid"]), page, title, kind)
             if f:
                 lines.append((f, "text"))
-    return editor.model, AveragedPerceptron(("text", "furniture")).train(lines)
+    return AveragedPerceptron(("text", "furniture")).train(lines)
 
 
 # -- operators ----------------------------------------------------------------------------------------------------
 
 
-def repaired(text: str, page: int | None, title: str, editor: Editor, lines_model: AveragedPerceptron, furniture: bool = True, rebuild: bool = True) -> tuple[str, set[str]]:
-    """A text as continuous paragraphs, and the kinds of damage found in it; without ``rebuild`` the kinds only."""
-    found: set[str] = set()
-    rows = text.split("\n")
-    drop = set(furniture_lines(text, page, title, lines_model)) if furniture else set()
-    if drop:
-        found.add("furniture")
-    # Where furniture stood between the halves of a sentence, the halves meet again.
+def without_furniture(text: str, drop: set[int]) -> str:
+    """A text without the lines ``drop``; where one stood between the halves of a sentence, the halves meet again."""
+    if not drop:
+        return text.strip("\n")
     kept: list[str] = []
     gap = False
-    for k, row in enumerate(rows):
+    for k, row in enumerate(text.split("\n")):
         if k in drop:
             gap = True
             continue
@@ -471,40 +181,44 @@ def repaired(text: str, page: int | None, title: str, editor: Editor, lines_mode
                 kept.append("")
             gap = False
         kept.append(row)
-    body = "\n".join(kept).strip("\n")
+    return "\n".join(kept).strip("\n")
+
+
+def asked_keys(flat: str, common: set[str]) -> list[str]:
+    """The keys of an unbroken text that may be damaged. A broken word asks for itself and for its whole."""
+    out = []
+
+    def take(m: re.Match) -> str:
+        if not m[3][0].islower():
+            return m[0]
+        out.append(break_key(m[1], m[2], m[3]))
+        return m[1] + m[3]
+
+    if "\n" in flat:
+        flat = HYPHEN.sub(take, HYPHEN.sub(take, flat))
+    words = {"w" + w for w in WORD.findall(flat.lower())} | {"3" + g for g in surrounded(flat)}
+    return out + list(words - common)
+
+
+def rebuilt(flat: str, changed: dict[str, str]) -> str:
+    """An unbroken text with all changes made, as continuous paragraphs."""
 
     def join(m: re.Match) -> str:
-        if m[3][0].islower() and editor.joins(m[1], m[2], m[3]):
-            found.add("hyphen")
-            return m[1] + m[3]
-        return m[1] + "-" + m[3]
-
-    flat = unbroken(body)
-    if any(mark + "\n" in flat or mark + " \n" in flat for mark in "-‐¬­"):
-        flat = _HYPHEN.sub(join, _HYPHEN.sub(join, flat))
-    swaps = editor.han_edits(flat)
-    if swaps:
-        found.add("glyph")
-        chars = list(flat)
-        for k, right in swaps:
-            chars[k] = right
-        flat = "".join(chars)
+        return m[1] + ("" if m[3][0].islower() and break_key(m[1], m[2], m[3]) in changed else "-") + m[3]
 
     def fix(m: re.Match) -> str:
-        after = editor.fixed(m[0])
-        if after != m[0] or LOST in m[0]:
-            found.add("glyph")
-        return after
-
-    for w in set(_WORD.findall(flat)) - editor.sound:
-        if editor.fixed(w) != w or LOST in w:
-            if not rebuild:
-                found.add("glyph")
-                break
-            flat = _WORD.sub(fix, flat)
-            break
-    if not rebuild:
-        return "", found
+        after = changed.get("w" + m[0].lower(), m[0])
+        if after == m[0]:
+            return after
+        return after.upper() if m[0].isupper() and len(m[0]) > 1 else after[:1].upper() + after[1:] if m[0][:1].isupper() else after
+
+    if "\n" in flat:
+        flat = HYPHEN.sub(join, HYPHEN.sub(join, flat))
+    if any(key[0] == "3" for key in changed):
+        padded = "\n" + flat + "\n"
+        flat = "".join(changed.get("3" + padded[k : k + 3], c) for k, c in enumerate(flat))
+    if any(key[0] == "w" for key in changed):
+        flat = WORD.sub(fix, flat)
     out = []
     for block in re.split(r"\n[ \t]*\n", flat):
         paragraph = ""
@@ -516,48 +230,70 @@ def repaired(text: str, page: int | None, title: str, editor: Editor, lines_mode
             paragraph += ("\n" if alone else " ") + row if paragraph else row
         if paragraph:
             out.append(paragraph)
-    return "\n\n".join(out), found
+    return "\n\n".join(out)
 
 
-def clean_sample(chunks: DataFrame, limit: int = SAMPLE) -> list[tuple[str, int | None, str]]:
+def clean_sample(chunks: DataFrame, limit: int = SAMPLE) -> list[tuple[str, int | None, str, str]]:
     """The chunks of the least hashes, at most ``limit``, whose layout has nothing beside a title and a text."""
-    rows = chunks.where("text is not null and chunk_version_uid is not null and content_type in ('section', 'footnote') and size(block_labels) <= 2 and not contains(text, '�')")
-    picked = rows.select("chunk_version_uid", "text", "page", F.coalesce("title_context", F.lit("")).alias("title")).distinct()
-    return [(r["text"], r["page"], r["title"]) for r in picked.orderBy(F.xxhash64("chunk_version_uid"), "chunk_version_uid").limit(limit).toLocalIterator()]
+    rows = chunks.where("text is not null and chunk_version_uid is not null and size(block_labels) <= 2 and not contains(text, '�')")
+    picked = rows.select("chunk_version_uid", "text", "page", F.coalesce("title_context", F.lit("")).alias("title"), F.coalesce("content_type", F.lit("")).alias("kind"))
+    # A chunk that was delivered twice has one hash; the few repeats among the least ones fall away here.
+    found = picked.orderBy(F.xxhash64("chunk_version_uid"), "chunk_version_uid").limit(limit).toLocalIterator()
+    return list({r["chunk_version_uid"]: (r["text"], r["page"], r["title"], r["kind"]) for r in found}.values())
+
 
+_COLUMNS = ["chunk_version_uid", "text", "page", "title_context", "content_type"]
 
-def _scan(chunks: DataFrame, with_text: bool) -> DataFrame:
-    levels = count_table(chunks)
-    models = train(Counts(levels), clean_sample(chunks))
-    shared = chunks.sparkSession.sparkContext.broadcast((levels, models))  # 2 x SLOTS bytes and the weights
+
+def _scan(chunks: DataFrame) -> tuple[DataFrame, DataFrame, AveragedPerceptron]:
+    """(uid, key) of everything a text asks about or shows by itself, (key, to) of the damaged keys, and the line model."""
+    sample = clean_sample(chunks)
+    changed, counts = damaged_keys(chunks, [text for text, *_ in sample])
+    # No damaged key is among the common ones, so leaving these out loses nothing.
+    common = counts.where("key not like 'j%' and n > 1").join(changed, "key", "left_anti").orderBy(F.desc("n"), "key").limit(COMMON)
+    lines = train_lines(sample)
+    shared = chunks.sparkSession.sparkContext.broadcast(({r["key"] for r in common.select("key").toLocalIterator()}, lines))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, (characters, lines) = shared.value
-        editor = Editor(Counts(table), characters)
+        known, model = shared.value
         for pdf in batches:
-            uids, texts, damages = [], [], []
-            for uid, text, page, title, kind in zip(pdf["chunk_version_uid"], pdf["text"], pdf["page"], pdf["title_context"], pdf["content_type"]):
-                clean, found = repaired(text, None if pd.isna(page) else int(page), title or "", editor, lines, kind not in NO_FURNITURE, with_text)
-                if with_text:
-                    uids.append(uid)
-                    texts.append(clean)
-                    damages.append(sorted(found))
-                else:
-                    uids += [uid] * len(found)
-                    damages += sorted(found)
-            # A frame of empty lists would have float columns, which Arrow turns into chunked strings: object columns, always.
-            yield pd.DataFrame({"chunk_version_uid": uids, "text": texts, "damage": damages} if with_text else {"chunk_version_uid": uids, "damage": damages}, dtype=object)
-
-    rows = chunks.where("text is not null and chunk_version_uid is not null").select("chunk_version_uid", "text", "page", "title_context", "content_type")
-    schema = "chunk_version_uid string, text string, damage array<string>" if with_text else "chunk_version_uid string, damage string"
-    return rows.mapInPandas(run, schema)
+            uids, asked = [], []
+            for uid, text, page, title, kind in zip(*(pdf[c] for c in _COLUMNS)):
+                drop = set(furniture_lines(text, None if pd.isna(page) else int(page), title or "", kind or "", model))
+                found = asked_keys(unbroken(without_furniture(text, drop)), known)
+                found += ["furniture"] * bool(drop) + ["glyph"] * (LOST in text)
+                uids += [uid] * len(found)
+                asked += found
+            yield pd.DataFrame({"chunk_version_uid": uids, "key": asked}, dtype=object)
+
+    rows = chunks.where("text is not null and chunk_version_uid is not null").select(*_COLUMNS)
+    return rows.mapInPandas(run, "chunk_version_uid string, key string"), changed, lines
 
 
 def damage(chunks: DataFrame) -> DataFrame:
     """(chunk_version_uid, damage): one row per chunk and kind (hyphen, glyph, furniture); null texts have none."""
-    return _scan(chunks, False).distinct()
+    asked, changed, _ = _scan(chunks)
+    kind = F.when(F.col("to").isNull(), F.col("key")).when(F.col("key").startswith("j"), "hyphen").otherwise("glyph")
+    shown = F.col("key").isin("furniture", "glyph")
+    return asked.join(changed, "key", "left").where(shown | F.col("to").isNotNull()).select("chunk_version_uid", kind.alias("damage")).distinct()
 
 
 def repaired_chunks(chunks: DataFrame) -> DataFrame:
     """(chunk_version_uid, text, damage): every chunk once, its text as continuous paragraphs."""
-    return _scan(chunks, True).dropDuplicates(["chunk_version_uid"])
+    asked, changed, lines = _scan(chunks)
+    # At most the distinct damaged words of one chunk come together.
+    own = asked.join(changed, "key").distinct().groupBy("chunk_version_uid").agg(F.collect_list(F.struct("key", "to")).alias("changes"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts, damages = [], []
+            for text, page, title, kind, changes in zip(*(pdf[c] for c in [*_COLUMNS[1:], "changes"])):
+                to = {x["key"]: x["to"] for x in changes} if changes is not None else {}
+                drop = set(furniture_lines(text, None if pd.isna(page) else int(page), title or "", kind or "", lines))
+                texts.append(rebuilt(unbroken(without_furniture(text, drop)), to))
+                found = {"hyphen" if key[0] == "j" else "glyph" for key in to} | ({"furniture"} if drop else set()) | ({"glyph"} if LOST in text else set())
+                damages.append(sorted(found))
+            yield pd.DataFrame({"chunk_version_uid": pdf["chunk_version_uid"], "text": texts, "damage": damages})
+
+    rows = chunks.where("text is not null and chunk_version_uid is not null").select(*_COLUMNS).dropDuplicates(["chunk_version_uid"])
+    return rows.join(own, "chunk_version_uid", "left").mapInPandas(run, "chunk_version_uid string, text string, damage array<string>")

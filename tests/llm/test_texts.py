@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataline.llm import budget, mixing, pieces, repair, stuffing
+from strataline.llm import budget, misreadings, mixing, pieces, repair, stuffing
 from strataline.llm.perceptron import AveragedPerceptron
 
 
@@ -133,6 +133,15 @@ def _page(rng, title):
     return f"## {title}\n\n" + "\n".join(lines) + "."
 
 
+def _misread(rng, body):
+    """Two words of a text read with l for i or ri for n."""
+    words = [w for w in _WORDS if ("i" in w or "n" in w) and w in body]
+    for w in rng.sample(words, min(2, len(words))):
+        a, b = rng.choice([x for x in (("i", "l"), ("n", "ri")) if x[0] in w])
+        body = body.replace(w, w.replace(a, b, 1), 1)
+    return body
+
+
 @pytest.fixture(scope="module")
 def scanned(spark):
     rng = random.Random(8)
@@ -143,7 +152,7 @@ def scanned(spark):
         if k % 9 == 0:
             labels = [*labels, "text"]
             head, body = text.split("\n\n", 1)
-            body, kind = rng.choice([(body + f"\nPage {page} of 90", "furniture"), (body.replace("confirmed", "conflrmed").replace("revenue", "reveriue"), "glyph"), (body.replace("management", "manage-\nment").replace("inventory", "inven‐\ntory"), "hyphen")])
+            body, kind = rng.choice([(body + f"\nPage {page} of 90", "furniture"), (_misread(rng, body), "glyph"), (body.replace("management", "manage-\nment").replace("inventory", "inven‐\ntory"), "hyphen")])
             text = f"{head}\n\n{body}"
             if any(x in text for x in ("Page ", "conflrmed", "reveriue", "manage-\n", "inven‐\n")):
                 truth.setdefault(f"u{k}", set()).add(kind)
@@ -171,7 +180,7 @@ def test_repair_rebuilds_paragraphs(scanned):
         text = got[u]["text"]
         assert text.startswith("## ") and "\n\n" in text and "\n" not in text.split("\n\n", 1)[1]
         if kinds & set(got[u]["damage"]):
-            assert not any(x in text for x in ("manage-", "inven‐", "Page ", "conflrmed", "reveriue"))
+            assert not any(x in text for x in ("manage-", "inven‐", "Page ", "conflrmed", "reveriue", "provlsion", "externai"))
 
 
 def test_repair_of_nothing(spark, scanned):
@@ -194,9 +203,27 @@ def test_batches_without_damage(spark, scanned):
 
 def test_line_forms():
     f = repair.line_features
-    assert f("## Heading", "", "", "first", 1, "") is None and f("ends here.", "", "", "mid", 1, "") is None
-    assert "numberalone" in f("- 5 -", "", "", "last", 5, "") and "numberalonesame" in f("第 5 页", "", "", "last", 5, "")
-    assert "numberwith" in f("Notes ...... 12", "", "", "last", 5, "")
+    assert f("## Heading", "", "", "first", 1, "", "section") is None and f("ends here.", "", "", "mid", 1, "", "section") is None
+    assert "numberalone" in f("- 5 -", "", "", "last", 5, "", "table") and "numberalonesame" in f("第 5 页", "", "", "last", 5, "", "section")
+    assert "numberwith" in f("Notes ...... 12", "", "", "last", 5, "", "section") and "numberalone" in f("Page 7.", "", "", "last", 5, "", "section")
+    assert f("A very long running header of a report " * 5, "", "", "first", 5, "", "caption")
+
+
+def test_misreadings_are_learnt_from_the_corpus(spark):
+    """A misreading that no list knows is found where it befalls many common words; a chance likeness is not."""
+    words = ["market", "meeting", "margin", "summer", "common", "member", "amount", "number", "formal", "damage"]
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(120)]
+    texts[5] += " " + " ".join(w.replace("m", "w3", 1) for w in words[:8]) + " mirket"
+    texts[6] += " 客户" + "应收账款与客户存款" * 3
+    df = spark.createDataFrame([(f"u{k}", t) for k, t in enumerate(texts)], "chunk_version_uid string, text string")
+    counts = misreadings.key_counts(df)
+    pairs = misreadings.word_pairs(counts)
+    assert set(misreadings.word_misreadings(pairs, counts)) == {("w3", "m")}
+    counts = counts.unionByName(spark.createDataFrame([("wcow3w3on", 1), ("wcowwon", 1), ("w" + "x" * 20_000, 1)], "key string, n long"))
+    assert misreadings.word_pairs(counts).where("word = 'cow3w3on' and other = 'common'").isEmpty()
+    two = misreadings._two_edits(counts, spark.createDataFrame([("cow3w3on", 1)], "word string, n long").withColumn("id", F.xxhash64("word")), {("w3", "m"): (8, 0.8)})
+    assert {r["other"] for r in two.collect()} == {"common"}
 
 
 # -- 8: mixture ---------------------------------------------------------------------------------------------------
