@@ -154,7 +154,7 @@ def scanned(spark):
             head, body = text.split("\n\n", 1)
             body, kind = rng.choice([(body + f"\nPage {page} of 90", "furniture"), (_misread(rng, body), "glyph"), (body.replace("management", "manage-\nment").replace("inventory", "inven‐\ntory"), "hyphen")])
             text = f"{head}\n\n{body}"
-            if any(x in text for x in ("Page ", "conflrmed", "reveriue", "manage-\n", "inven‐\n")):
+            if kind == "glyph" or any(x in text for x in ("Page ", "manage-\n", "inven‐\n")):
                 truth.setdefault(f"u{k}", set()).add(kind)
         data.append((f"u{k}", text, page, f"Annual report > {title}", "section", labels))
     data += [("n1", None, 1, None, "section", None), (None, "x", 1, None, "section", None), ("n2", "", None, None, None, None), data[0], ("long", "committee " * 20_000, 1, "", "section", ["text"])]
