@@ -52,30 +52,33 @@ def unmatched_numbers(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(base, "work_uid").select("seq", F.concat_ws(" ", missing).alias("unmatched"))
 
 
+_SQL_EMAIL = r"[\p{L}\p{N}_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+([^\p{L}\p{N}_.-]|$)"
+_SQL_PHONE = r"(^|[^0-9])(?:\+?86[-\s]?)?(?:1[3-9](?:[-\s]?[0-9]){9}|0[0-9]{2,3}[-\s]?[0-9]{7,8})([^0-9]|$)"
+
+
 @query(rf"""
-    SELECT doc_id, CAST(len(regexp_extract_all(text, '{T.EMAIL}')) AS INTEGER) AS emails,
-           length(regexp_replace(text, '{T.EMAIL}', '[EMAIL]', 'g')) AS redacted_chars
-    FROM documents
+    WITH e AS (SELECT doc_id, len(regexp_extract_all(text, '{_SQL_EMAIL}')) AS emails, regexp_replace(text, '{_SQL_EMAIL}', '<EMAIL>\1', 'g') AS t FROM documents)
+    SELECT doc_id, CAST(emails AS BIGINT) AS emails, CAST(len(regexp_extract_all(t, '{_SQL_PHONE}')) AS BIGINT) AS phones,
+           sha256(regexp_replace(regexp_replace(t, '{_SQL_PHONE}', '\1<PHONE>\2', 'g'), '{_SQL_PHONE}', '\1<PHONE>\2', 'g')) AS redacted_hash
+    FROM e
 """)
-def email_redaction_counts(spark: SparkSession, d: str) -> DataFrame:
-    """E-mail addresses of each text and its length without them."""
-    email = F.regexp_replace("text", T.EMAIL, "[EMAIL]")
-    return read_table(spark, d, "documents").select("doc_id", F.regexp_count("text", F.lit(T.EMAIL)).alias("emails"), F.length(email).cast("bigint").alias("redacted_chars"))
+def contact_redaction(spark: SparkSession, d: str) -> DataFrame:
+    """E-mail addresses and phone numbers of each text, and the digest of the text with marks in their places."""
+    emails, phones = T.contacts(F.col("text"))
+    return read_table(spark, d, "documents").select("doc_id", emails.cast("bigint").alias("emails"), phones.cast("bigint").alias("phones"), F.sha2(T.redacted(F.col("text")), 256).alias("redacted_hash"))
 
 
 @query(r"""
     WITH lines AS (
         SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL
     ), measured AS (
-        SELECT doc_id, length(regexp_replace(line, '[ \t\r\f\x0B]', '', 'g')) AS visible,
-               len(regexp_extract_all(line, '[\p{L}\p{N}]')) AS alnum,
+        SELECT doc_id, length(line) AS chars, len(regexp_extract_all(line, '[\p{L}\p{N}]')) AS alnum,
                coalesce(list_max(list_transform(regexp_extract_all(line, '[A-Za-z]+'), lambda x: length(x))), 0) AS longest,
-               len(regexp_extract_all(line, '(?i)[bcdfghjklmnpqrstvwxz]{4,}')) AS clusters
+               coalesce(list_sum(list_transform(regexp_extract_all(line, '[A-Za-z]+'), lambda x: len(regexp_extract_all(lower(x), '[bcdfghjklmnpqrstvwxyz]{4,}')))), 0) AS clusters
         FROM lines
     )
     SELECT doc_id, count(*) AS n_lines,
-           count(*) FILTER (WHERE visible = 0 OR alnum = 0 OR alnum / greatest(visible, 1) < 0.35 OR longest >= 30
-                                  OR (clusters >= 2 AND longest >= 20)) AS noise_lines
+           count(*) FILTER (WHERE alnum = 0 OR alnum / greatest(chars, 1) < 0.35 OR longest >= 30 OR (clusters >= 2 AND longest >= 20)) AS noise_lines
     FROM measured GROUP BY 1
 """)
 def noise_line_flags(spark: SparkSession, d: str) -> DataFrame:
@@ -127,7 +130,7 @@ def language_detection(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-    WITH w AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z]+') AS words FROM documents WHERE text IS NOT NULL)
+    WITH w AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z\-]{2,}') AS words FROM documents WHERE text IS NOT NULL)
     SELECT doc_id, CASE WHEN len(words) = 0 THEN 0.0
            ELSE least(100.0, greatest(0.0, round_even(100 - 400 * (len(list_filter(words, lambda x: length(x) >= 18)) / len(words)), 0))) END AS score
     FROM w
@@ -137,27 +140,23 @@ def quality_heuristic(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "documents").where("text is not null").select("doc_id", T.long_word_score(F.col("text")).alias("score"))
 
 
-@query(r"""
+@query(rf"""
     WITH w AS (
-        SELECT source, doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS word,
-               generate_subscripts(regexp_extract_all(lower(text), '[a-z]{4,}'), 1) AS pos
-        FROM documents WHERE text IS NOT NULL
+        SELECT source, lower(unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z\-]{{2,}}'))) AS word FROM documents WHERE text IS NOT NULL
     ), c AS (
         SELECT lower(trim(source)) AS source_name, word, count(*) AS n FROM w
-        WHERE word NOT IN ('that', 'this', 'with', 'from', 'were', 'which', 'while', 'after', 'before') GROUP BY 1, 2
+        WHERE length(word) >= 4 AND word NOT IN ({', '.join(f"'{x}'" for x in T.TOPIC_STOP)}) GROUP BY 1, 2
     )
-    SELECT source_name, word, n, rn FROM (
+    SELECT source_name, list_aggregate(list_transform(string_split(word, '-'), lambda p: upper(p[1]) || lower(p[2:])), 'string_agg', '-') AS topic, n, rn FROM (
         SELECT *, row_number() OVER (PARTITION BY source_name ORDER BY n DESC, word) AS rn FROM c) WHERE rn <= 5
 """)
 def topic_terms(spark: SparkSession, d: str) -> DataFrame:
-    """The five most frequent words of each source."""
-    stop = ["that", "this", "with", "from", "were", "which", "while", "after", "before"]
-    words = read_table(spark, d, "documents").where("text is not null").select(
-        F.lower(F.trim("source")).alias("source_name"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), 0)).alias("word")
-    )
-    counts = words.where(~F.col("word").isin(stop)).groupBy("source_name", "word").agg(F.count(F.lit(1)).alias("n"))
+    """The five most frequent topic words of each source."""
+    words = read_table(spark, d, "documents").where("text is not null").select(F.lower(F.trim("source")).alias("source_name"), F.explode(T.topic_words(F.col("text"))).alias("word"))
+    counts = words.groupBy("source_name", "word").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("source_name").orderBy(F.desc("n"), "word")
-    return counts.withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn <= 5")
+    top = counts.withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn <= 5")
+    return top.select("source_name", T.title_case(F.col("word")).alias("topic"), "n", "rn")
 
 
 @query(r"""
@@ -182,13 +181,13 @@ def line_offsets(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", F.posexplode(step).alias("p", "l")).select("doc_id", (F.col("p") + 1).cast("bigint").alias("line_no"), "l.char_start", "l.n_chars")
 
 
-@query(r"""
+@query(rf"""
     WITH l AS (
         SELECT chunk_version_uid, generate_subscripts(string_split(text, chr(10)), 1) AS n, unnest(string_split(text, chr(10))) AS line
         FROM (SELECT DISTINCT chunk_version_uid, text FROM chunks WHERE text IS NOT NULL)
     ), h AS (
         SELECT chunk_version_uid, min(n) FILTER (WHERE regexp_matches(line,
-          '(?i)^\s*#*\s*(?:[0-9]+(?:\.[0-9]+)*[.)]?\s*)?(?:references?|bibliography|works cited|参考文献|引用文献)\s*[:：]?\s*$')) AS cut
+          '{T.REFERENCE_HEADING}')) AS cut
         FROM l GROUP BY 1
     )
     SELECT l.chunk_version_uid, count(*) FILTER (WHERE cut IS NULL OR n < cut) AS kept_lines,
@@ -210,16 +209,44 @@ def reference_tail(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(r"""
-    SELECT DISTINCT chunk_version_uid,
-           CASE WHEN regexp_matches(text, '^#{1,6}') THEN length(regexp_extract(text, '^(#{1,6})', 1))
-                WHEN block_labels[1] = 'doc_title' THEN 1 WHEN block_labels[1] = 'abstract' THEN 2
-                WHEN regexp_matches(text, '^[0-9]+(\.[0-9]+)+') THEN 3 ELSE 2 END AS heading_level,
-           CASE block_labels[1] WHEN 'doc_title' THEN 'heading' WHEN 'paragraph_title' THEN 'heading' WHEN 'abstract' THEN 'abstract'
-                WHEN 'table' THEN 'table' WHEN 'figure_title' THEN 'caption' WHEN 'table_title' THEN 'caption' WHEN 'formula' THEN 'formula'
-                WHEN 'footnote' THEN 'footnote' WHEN 'reference' THEN 'reference' WHEN 'header' THEN 'furniture' WHEN 'footer' THEN 'furniture'
-                WHEN 'number' THEN 'furniture' WHEN 'image' THEN 'image' WHEN 'chart' THEN 'image' ELSE 'paragraph' END AS kind
-    FROM chunks WHERE text IS NOT NULL
+@query(rf"""
+    WITH k AS (
+        SELECT document_uid, rule_version, chunk_index, chunk_version_uid, length(text) AS n, regexp_matches(text, '{T.REFERENCE_HEADING}') OR coalesce(list_contains(block_labels, 'reference'), FALSE) AS opens
+        FROM (SELECT DISTINCT document_uid, rule_version, chunk_index, chunk_version_uid, text, block_labels FROM chunks WHERE text IS NOT NULL)
+    ), c AS (
+        SELECT *, max(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY document_uid, rule_version ORDER BY chunk_index, chunk_version_uid) = 1 AS gone FROM k
+    )
+    SELECT document_uid, rule_version, bool_or(gone) AS detected, count(*) FILTER (WHERE gone) AS removed_blocks, CAST(coalesce(sum(n) FILTER (WHERE gone), 0) AS BIGINT) AS removed_chars
+    FROM c GROUP BY 1, 2
+""")
+def reference_section_cut(spark: SparkSession, d: str) -> DataFrame:
+    """What is removed of each document from its first reference heading or block labelled reference on."""
+    rows = read_table(spark, d, "chunks").where("text is not null").select("document_uid", "rule_version", "chunk_index", "chunk_version_uid", "text", "block_labels").distinct()
+    opens = T.reference_heading(F.col("text")) | F.coalesce(F.array_contains("block_labels", "reference"), F.lit(False))
+    at = F.struct("chunk_index", "chunk_version_uid")
+    placed = rows.select("document_uid", "rule_version", at.alias("at"), F.length("text").alias("n"), F.when(opens, at).alias("open"))
+    # The cut is a minimum, which combines before the shuffle; a document's rows meet it by a join on small keys.
+    cut = placed.groupBy("document_uid", "rule_version").agg(F.min("open").alias("cut")).select(F.col("document_uid").alias("u"), F.col("rule_version").alias("v"), "cut")
+    gone = F.coalesce(F.col("at") >= F.col("cut"), F.lit(False))
+    joined = placed.join(cut, F.col("document_uid").eqNullSafe(F.col("u")) & F.col("rule_version").eqNullSafe(F.col("v")))
+    return joined.groupBy("document_uid", "rule_version").agg(
+        F.max(gone).alias("detected"), F.count(F.when(gone, 1)).alias("removed_blocks"), F.coalesce(F.sum(F.when(gone, F.col("n"))), F.lit(0)).cast("bigint").alias("removed_chars")
+    )
+
+
+_SQL_LEVEL = r"""CASE WHEN regexp_matches(clean, '^#{1,6}\s') THEN length(regexp_extract(clean, '^(#{1,6})\s', 1))
+                WHEN label = 'doc_title' THEN 1 WHEN label = 'abstract' THEN 2
+                WHEN label = 'paragraph_title' AND regexp_matches(clean, '^[0-9]+(\.[0-9]+)*\.?\s') THEN 3 ELSE 2 END"""
+_SQL_KIND = """CASE label WHEN 'header' THEN 'noise' WHEN 'footer' THEN 'noise' WHEN 'number' THEN 'noise' WHEN 'vision_footnote' THEN 'noise'
+                WHEN 'doc_title' THEN 'heading' WHEN 'paragraph_title' THEN 'heading' WHEN 'table' THEN 'table' WHEN 'formula' THEN 'formula'
+                WHEN 'image' THEN 'figure' WHEN 'chart' THEN 'figure' WHEN 'figure_title' THEN 'caption' WHEN 'reference' THEN 'reference'
+                WHEN 'footnote' THEN 'footnote' WHEN 'algorithm' THEN 'algorithm' ELSE 'paragraph' END"""
+_SQL_CLEAN = r"regexp_replace(text, '^\s+|\s+$', '', 'g') AS clean, coalesce(block_labels[1], '') AS label"
+
+
+@query(f"""
+    SELECT DISTINCT chunk_version_uid, {_SQL_LEVEL} AS heading_level, {_SQL_KIND} AS kind
+    FROM (SELECT chunk_version_uid, {_SQL_CLEAN} FROM chunks WHERE text IS NOT NULL)
 """)
 def heading_levels(spark: SparkSession, d: str) -> DataFrame:
     """Heading level and content type by the first layout label."""
@@ -248,17 +275,17 @@ def dropped_labels(spark: SparkSession, d: str) -> DataFrame:
     return joined.groupBy("rule").agg(F.sum(F.size("block_labels")).alias("blocks"), F.sum(dropped).alias("dropped"))
 
 
-@query(r"""
-    WITH c AS (SELECT DISTINCT chunk_version_uid, document_uid, rule_version, chunk_index, content_type, title_context, text FROM chunks WHERE text IS NOT NULL)
-    SELECT document_uid, rule_version, sha256(string_agg(CASE WHEN content_type = 'caption' THEN '# ' || text ELSE text END, chr(10) || chr(10)
-           ORDER BY chunk_index, chunk_version_uid)) AS markdown_hash, count(*) AS parts
+@query(rf"""
+    WITH c AS (SELECT DISTINCT chunk_version_uid, document_uid, rule_version, chunk_index, {_SQL_CLEAN} FROM chunks WHERE text IS NOT NULL)
+    SELECT document_uid, rule_version, sha256(string_agg(CASE WHEN {_SQL_KIND} = 'heading' AND NOT starts_with(clean, '#') THEN repeat('#', {_SQL_LEVEL}) || ' ' || clean ELSE clean END,
+           chr(10) || chr(10) ORDER BY chunk_index, chunk_version_uid)) AS markdown_hash, count(*) AS parts
     FROM c GROUP BY 1, 2
 """)
 def governed_markdown(spark: SparkSession, d: str) -> DataFrame:
-    """Digest of each document as one Markdown text, parts in order."""
-    chunks = read_table(spark, d, "chunks").where("text is not null").select("chunk_version_uid", "document_uid", "rule_version", "chunk_index", "content_type", "text").distinct()
-    part = F.when(F.col("content_type") == "caption", F.concat(F.lit("# "), "text")).otherwise(F.col("text"))
-    parts = F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_version_uid", part.alias("part"))))
+    """Digest of each document as one Markdown text, parts in order, headings with their level."""
+    chunks = read_table(spark, d, "chunks").where("text is not null").select("chunk_version_uid", "document_uid", "rule_version", "chunk_index", "block_labels", "text").distinct()
+    part = T.governed_part(F.col("text"), F.coalesce(F.try_element_at("block_labels", F.lit(1)), F.lit("")))
+    parts = F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_version_uid", part.alias("part"))))  # the result is the document itself
     return chunks.groupBy("document_uid", "rule_version").agg(parts.alias("p")).select(
         "document_uid", "rule_version", F.sha2(F.concat_ws("\n\n", F.transform("p", lambda x: x["part"])), 256).alias("markdown_hash"), F.size("p").cast("bigint").alias("parts")
     )
@@ -277,17 +304,23 @@ def chunk_occurrence(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"""
     WITH k AS (
-        SELECT DISTINCT chunk_version_uid, document_uid, page, content_type, chunk_index, lower(trim(text)) AS key FROM chunks WHERE text IS NOT NULL
+        SELECT DISTINCT chunk_version_uid, document_uid, rule_version, content_type, chunk_index, sha256(lower(regexp_replace(text, '^\s+|\s+$', '', 'g'))) AS key,
+               content_type IN ('section', 'paragraph', 'reference', 'footnote', 'algorithm') AS once FROM chunks WHERE text IS NOT NULL
     )
-    SELECT chunk_version_uid, content_type IN ('table', 'formula', 'footnote', 'caption') OR
-           row_number() OVER (PARTITION BY document_uid, page, key ORDER BY chunk_index, chunk_version_uid) = 1 AS is_kept
+    SELECT chunk_version_uid, NOT once OR row_number() OVER (PARTITION BY document_uid, rule_version, key, once ORDER BY chunk_index, chunk_version_uid) = 1 AS is_kept
     FROM k
 """)
 def keep_first_blocks(spark: SparkSession, d: str) -> DataFrame:
-    """Repeated blocks of a page, but for types that may repeat."""
-    rows = read_table(spark, d, "chunks").where("text is not null").select("chunk_version_uid", "document_uid", "page", "content_type", "chunk_index", F.lower(F.trim("text")).alias("key")).distinct()
-    w = Window.partitionBy("document_uid", "page", "key").orderBy("chunk_index", "chunk_version_uid")
-    return rows.select("chunk_version_uid", (F.col("content_type").isin("table", "formula", "footnote", "caption") | (F.row_number().over(w) == 1)).alias("is_kept"))
+    """Repeated blocks of a document, but for types that may repeat. The first is a minimum by digest, no window over texts."""
+    key = F.sha2(F.lower(T.stripped(F.col("text"))), 256).alias("key")
+    once = F.coalesce(F.col("content_type").isin("section", "paragraph", "reference", "footnote", "algorithm"), F.lit(False)).alias("once")
+    rows = read_table(spark, d, "chunks").where("text is not null").select("chunk_version_uid", F.xxhash64("document_uid", "rule_version").alias("doc"), "document_uid", "rule_version", F.struct("chunk_index", "chunk_version_uid").alias("at"), key, once).distinct()
+    first = rows.where("once").groupBy("doc", "document_uid", "rule_version", "key").agg(F.min("at").alias("first")).select(
+        "doc", F.col("key").alias("k"), F.col("document_uid").alias("u"), F.col("rule_version").alias("v"), "first"
+    )
+    same = (rows.doc == first.doc) & (F.col("key") == F.col("k")) & F.col("document_uid").eqNullSafe(F.col("u")) & F.col("rule_version").eqNullSafe(F.col("v"))
+    repeated = rows.where("once").join(first, same).select("chunk_version_uid", (F.col("at") == F.col("first")).alias("is_kept"))
+    return repeated.unionByName(rows.where("not once").select("chunk_version_uid", F.lit(True).alias("is_kept")))
 
 
 @query("""

@@ -30,21 +30,32 @@ def test_numbers_and_guard(spark):
 
 
 def test_redaction(spark):
-    got = one(spark, ["mail a.b@c.example or 13812345678", "order 213812345678900"], T.redacted(F.col("t")))
-    assert got == ["mail [EMAIL] or [PHONE]", "order 213812345678900"]
+    got = one(spark, ["mail a.b@c.example or 13812345678", "order 213812345678900", "+86 138-1234-5678, 010-12345678; x@y.example"], T.redacted(F.col("t")))
+    assert got == ["mail <EMAIL> or <PHONE>", "order 213812345678900", "<PHONE>, <PHONE>; <EMAIL>"]
+    emails, phones = T.contacts(F.col("t"))
+    assert one(spark, ["x@y.example 13812345678 13912345678", None], F.concat(emails.cast("string"), phones.cast("string"))) == ["12", None]
 
 
 def test_noise(spark):
-    lines = ["", "----", "xkcdqrtz bgfhjklmnpqrstvwxzzz", "a" * 31, "The report was filed in May."]
-    assert one(spark, lines, T.noise_line(F.col("t"))) == [True, True, True, True, False]
+    lines = ["", "----", " \t ", "an sch enviofl dive Bosidenghaitwchaitabeouatioanluervicam", "Boid com.Thisindgoocvavrctlornctlnacr perforl performance.", "a" * 31,
+             "a   .   .   ", "| A | B |", "ESG performance improves firm value.", "The report was filed in May."]
+    assert one(spark, lines, T.noise_line(F.col("t"))) == [True, True, True, True, True, True, True, True, False, False]
 
 
 def test_language_quality_heading(spark):
     assert one(spark, ["中文报告", "an English text"], T.detected_language(F.col("t"))) == ["zh", "en"]
-    assert one(spark, ["", "short words only", "a" * 18], T.long_word_score(F.col("t"))) == [0.0, 100.0, 0.0]
-    assert one(spark, ["### x", "1.2 x", "x"], T.heading_level(F.col("t"))) == [3, 3, 2]
-    assert one(spark, ["## 7. References", "参考文献：", "References are below"], T.reference_heading(F.col("t"))) == [True, True, False]
-    assert one(spark, ["doc_title", "other", None], T.content_type(F.col("t"))) == ["heading", "paragraph", "paragraph"]
+    assert one(spark, ["", "a an", "short words only", "a" * 18, "forward-looking-statements"], T.long_word_score(F.col("t"))) == [0.0, 0.0, 100.0, 0.0, 0.0]
+    assert one(spark, ["### x", "#x", "1.2 Net sales", " ## y"], T.heading_level(F.col("t"))) == [3, 2, 2, 2]
+    titles = ["1. Introduction", "1.2 Net sales", "Introduction", "2024 results"]
+    assert one(spark, titles, T.heading_level(F.col("t"), F.lit("paragraph_title"))) == [3, 3, 2, 3]
+    assert one(spark, ["Paper Title", "1. A"], T.heading_level(F.col("t"), F.lit("doc_title"))) == [1, 1]
+    heads = ["## 7. References", "参考文献：", "参考资料：", "第三章 参考文献", "Bibliography", "References are below", "References to data sources are provided below.", "Works cited"]
+    assert one(spark, heads, T.reference_heading(F.col("t"))) == [True, True, True, True, True, False, False, False]
+    labels = ["doc_title", "abstract", "header", "vision_footnote", "chart", "algorithm", "table_title", "other", None]
+    assert one(spark, labels, T.content_type(F.col("t"))) == ["heading", "paragraph", "noise", "noise", "figure", "algorithm", "paragraph", "paragraph", "paragraph"]
+    assert one(spark, ["1. Introduction", "# Marked ", "Plain"], T.governed_part(F.col("t"), F.lit("paragraph_title"))) == ["### 1. Introduction", "# Marked", "## Plain"]
+    assert one(spark, ["The forward-looking fund and the fund"], T.topic_words(F.col("t"))) == [["forward-looking", "fund", "fund"]]
+    assert one(spark, ["forward-looking"], T.title_case(F.col("t"))) == ["Forward-Looking"]
 
 
 @settings(max_examples=15, deadline=None)
