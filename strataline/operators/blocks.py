@@ -58,12 +58,12 @@ class _Table(html.parser.HTMLParser):
 
 
 def html_table_to_markdown(value: str) -> str:
-    """A pipe table with a rule under its first row; ragged rows are filled, pipes escaped. Without cells the plain text."""
+    """A pipe table with a rule under its first row; ragged rows are filled, blank ones left out, pipes escaped. Without filled cells the normalized text."""
     parser = _Table()
     parser.feed(value)
-    rows = [[re.sub(r"\s+", " ", c).strip().replace("|", r"\|") for c in r] for r in parser.rows if r]
+    rows = [[re.sub(r"\s+", " ", c).strip().replace("|", r"\|") for c in r] for r in parser.rows if any(c.strip() for c in r)]
     if not rows:
-        return normalize_text(re.sub(r"<[^>]+>", " ", value))
+        return normalize_text(value)
     width = max(map(len, rows))
     lines = ["| " + " | ".join(r + [""] * (width - len(r))) + " |" for r in rows]
     return "\n".join([lines[0], "| " + " | ".join(["---"] * width) + " |", *lines[1:]])
@@ -74,12 +74,11 @@ def _table_places(value: str) -> list[tuple[int, int]]:
     parser = _Table()
     parser.feed(value)
     lines = [m.start() for m in re.finditer("^", value, re.M)]
-    starts = [lines[line - 1] + column for (line, column), row in zip(parser.places, parser.rows) if row]
+    starts = [lines[line - 1] + column for (line, column), row in zip(parser.places, parser.rows) if any(c.strip() for c in row)]
     if starts:
         spans = [(a, a + len(value[a:b].rstrip())) for a, b in zip(starts, [*starts[1:], len(value)])]
         return [spans[0], (spans[0][1],) * 2, *spans[1:]]
-    masked = re.sub(r"<[^>]+>", lambda m: " " * len(m[0]), value)
-    filled = iter([m.span() for m in re.finditer(r"[^\n]+", masked) if normalize_text(m[0])])
+    filled = iter([m.span() for m in re.finditer(r"[^\n]+", value) if normalize_text(m[0])])
     spans, end = [], 0
     for line in html_table_to_markdown(value).split("\n"):
         start, end = next(filled, (end, end)) if line.strip() else (end, end)

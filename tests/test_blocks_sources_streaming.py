@@ -12,7 +12,7 @@ def test_normalize_and_table():
     assert B.normalize_text("a   b ​\n\n\n\nｃ  d ") == "a b\n\nc d"
     got = B.html_table_to_markdown("<table><tr><th>a|b</th><th>c</th></tr><tr><td>1<br>2</td></tr></table>")
     assert got == "| a\\|b | c |\n| --- | --- |\n| 1 2 |  |"
-    assert B.html_table_to_markdown("<table></table>x") == "x"
+    assert B.html_table_to_markdown("<table></table>x") == "<table></table>x"
 
 
 def test_markdown_blocks_keep_offsets():
