@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 #: Queries of one block of a vector search.
 QUERY_BLOCK = 4096
-#: Most planes and bands of the sign hashes, and the share of pairs at the threshold that they may lose.
-PLANES, BANDS, LOST = 12, 64, 0.001
+#: Least planes of the sign hashes for a small set, most bands, and the share of pairs at the threshold that they may lose.
+PLANES, BANDS, LOST = 12, 256, 0.001
 
 
 def largest_remainder(weights: DataFrame, key: str, weight: str, total: int) -> DataFrame:
@@ -33,16 +33,6 @@ def temperature_weights(counts: DataFrame, key: str, n: str, alpha: float) -> Da
     return rows.select(key, (F.col("v") / F.sum("v").over(Window.partitionBy())).alias("weight"))
 
 
-def quota_select(df: DataFrame, quotas: DataFrame, group: str, order: list[Column]) -> DataFrame:
-    """The first ``quota`` rows of each group in a fixed order; groups without a quota give none.
-
-    Only ranks are windowed; the optimizer stops each partition at the limit.
-    """
-    w = Window.partitionBy(group).orderBy(*order)
-    ranked = df.withColumn("rank", F.row_number().over(w).cast("bigint"))
-    return ranked.join(F.broadcast(quotas), group).where("rank <= quota")
-
-
 def round_robin(df: DataFrame, stratum: str, order: list[Column], limit: int) -> DataFrame:
     """The first of each stratum, then the second of each, and so on, up to ``limit`` rows."""
     ranked = df.withColumn("turn", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)).cast("bigint"))
@@ -106,14 +96,15 @@ def greedy_diverse(items: DataFrame, threshold: float, key: str = "vec_id", vect
     return greedy_decisions(rows.select("k"), pairs).where("keep").select(F.col("k").alias(key))
 
 
-def sign_bands(threshold: float) -> tuple[int, int]:
+def sign_bands(threshold: float, rows: int = 1 << PLANES) -> tuple[int, int]:
     """(planes, bands) of sign hashes that lose a pair at ``threshold`` with a probability of at most LOST.
 
-    A plane has both vectors on one side with 1 - angle / pi. The most planes are taken that need no more than BANDS
-    bands; no planes are one band of all pairs.
+    A plane has both vectors on one side with 1 - angle / pi. Planes grow with the logarithm of the rows, so that a
+    bucket of a band does not grow with them, as far as no more than BANDS bands are needed; no planes are one band of
+    all pairs.
     """
     side = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
-    for planes in range(PLANES, 0, -1):
+    for planes in range(min(62 - BANDS.bit_length(), max(PLANES, math.ceil(math.log2(max(rows, 2))))), 0, -1):
         agree = side**planes
         bands = 1 if agree == 1 else math.ceil(math.log(LOST) / math.log1p(-agree)) if agree > 1e-9 else BANDS + 1
         if bands <= BANDS:
@@ -130,7 +121,7 @@ def cosine_pairs(rows: DataFrame, threshold: float, planes: int | None = None, b
     import pandas as pd
 
     if planes is None or bands is None:
-        planes, bands = sign_bands(threshold)
+        planes, bands = sign_bands(threshold, rows.count())
 
     def sign(batches):
         for pdf in batches:
@@ -140,7 +131,7 @@ def cosine_pairs(rows: DataFrame, threshold: float, planes: int | None = None, b
             rng = np.random.default_rng(seed)
             p = rng.standard_normal((x.shape[1], planes * bands))
             bits = (x @ p > 0).reshape(len(x), bands, planes)
-            keys = bits @ (1 << np.arange(planes)) + (np.arange(bands) << planes)
+            keys = bits @ (1 << np.arange(planes, dtype=np.int64)) + (np.arange(bands, dtype=np.int64) << planes)
             yield pd.DataFrame({"k": np.repeat(pdf["k"].to_numpy(np.int64), bands), "band": keys.ravel()})
 
     keyed = rows.where("v is not null").select("k", "v").mapInPandas(sign, "k bigint, band bigint")

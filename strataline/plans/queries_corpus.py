@@ -205,15 +205,25 @@ def incremental_delta(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    SELECT h AS content_hash, min(batch_no) AS first_batch, count(DISTINCT sample_id) AS origins, string_agg(DISTINCT work_uid, ',' ORDER BY work_uid) AS works
+    SELECT h AS content_hash, min(batch_no) AS first_batch, count(DISTINCT sample_id) AS origins, count(DISTINCT work_uid) AS works
     FROM (SELECT sha256(text) AS h, batch_no, sample_id, work_uid FROM corpus WHERE text IS NOT NULL AND status = 'accepted') GROUP BY 1
 """)
 def snapshot_union(spark: SparkSession, d: str) -> DataFrame:
     """The union of all accepted batches: each text once, all its origins kept."""
     rows = read_table(spark, d, "corpus").where("text is not null and status = 'accepted'").select(F.sha2("text", 256).alias("content_hash"), "batch_no", "sample_id", "work_uid")
-    return rows.groupBy("content_hash").agg(
-        F.min("batch_no").alias("first_batch"), F.size(F.collect_set("sample_id")).cast("bigint").alias("origins"), F.concat_ws(",", F.array_sort(F.collect_set("work_uid"))).alias("works")
-    )
+    # Two plain aggregations count origins and works, so a text copied everywhere gathers nothing.
+    origins = rows.groupBy("content_hash", "sample_id").agg(F.min("batch_no").alias("b")).groupBy("content_hash").agg(F.min("b").alias("first_batch"), F.count("sample_id").alias("origins"))
+    works = rows.groupBy("content_hash", "work_uid").agg(F.lit(1).alias("one")).groupBy("content_hash").agg(F.count("work_uid").alias("works"))
+    return origins.join(works, "content_hash")
+
+
+@query("""
+    SELECT DISTINCT sha256(text) AS content_hash, sample_id, work_uid FROM corpus WHERE text IS NOT NULL AND status = 'accepted'
+""")
+def snapshot_origins(spark: SparkSession, d: str) -> DataFrame:
+    """The origins of each text of the union, as rows."""
+    rows = read_table(spark, d, "corpus").where("text is not null and status = 'accepted'")
+    return rows.select(F.sha2("text", 256).alias("content_hash"), "sample_id", "work_uid").distinct()
 
 
 @query("""

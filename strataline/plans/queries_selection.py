@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import label
+from ..operators import mixture as M
 from ..operators import selection as S
 from ..sources.tables import read_table
 from .registering import registry
@@ -26,7 +27,7 @@ def _quotas(docs: DataFrame) -> DataFrame:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "documents").select("doc_id", label(F.col("lang")).alias("lang"), "n_chars")
+    return read_table(spark, d, "documents").select("doc_id", label(F.col("lang")).alias("lang"), "n_chars", "source")
 
 
 @query(f"WITH {_QUOTAS} SELECT lang, CAST(quota AS BIGINT) AS quota FROM quotas")
@@ -45,7 +46,54 @@ def temperature_quotas(spark: SparkSession, d: str) -> DataFrame:
 def mixture_selection(spark: SparkSession, d: str) -> DataFrame:
     """The documents a language mixture takes, in hash order."""
     docs = _docs(spark, d)
-    return S.quota_select(docs, _quotas(docs), "lang", [F.sha2(F.col("doc_id").cast("string"), 256)]).select("doc_id", "lang", "rank")
+    return M.quota_select(docs, _quotas(docs), "lang", "doc_id").select("doc_id", "lang", "rank")
+
+
+_MIXED = """
+    WITH RECURSIVE o AS (
+        SELECT doc_id, coalesce(nullif(lower(trim(lang)), ''), 'unknown') AS lang, n_chars AS size,
+               row_number() OVER (PARTITION BY coalesce(nullif(lower(trim(lang)), ''), 'unknown') ORDER BY sha256(CAST(doc_id AS VARCHAR))) AS rn
+        FROM documents WHERE n_chars > 0
+    ), q AS (SELECT lang, CAST(floor(sum(size) * 0.3) AS BIGINT) AS quota FROM o GROUP BY 1),
+    walk AS (
+        SELECT lang, CAST(0 AS BIGINT) AS rn, CAST(0 AS HUGEINT) AS total, CAST(NULL AS BIGINT) AS doc_id FROM q
+        UNION ALL
+        SELECT o.lang, o.rn, CASE WHEN w.total + o.size <= q.quota THEN w.total + o.size ELSE w.total END, CASE WHEN w.total + o.size <= q.quota THEN o.doc_id END
+        FROM walk w JOIN o ON o.lang = w.lang AND o.rn = w.rn + 1 JOIN q ON q.lang = o.lang
+    )
+"""
+
+
+def _mix(spark: SparkSession, d: str):
+    docs = _docs(spark, d).where("n_chars > 0")
+    quotas = docs.groupBy("lang").agg(F.floor(F.sum("n_chars") * 0.3).cast("bigint").alias("quota"))
+    return docs, quotas
+
+
+@query(_MIXED + "SELECT doc_id, lang FROM walk WHERE doc_id IS NOT NULL")
+def mixture_greedy(spark: SparkSession, d: str) -> DataFrame:
+    """Intact documents up to 30 % of the characters of each language, those too large for the room left skipped."""
+    docs, quotas = _mix(spark, d)
+    return M.mix(docs, quotas, "lang", "doc_id", "n_chars").select("doc_id", "lang")
+
+
+@query(_MIXED + """, a AS (SELECT lang, sum(size) AS available FROM o GROUP BY 1), s AS (SELECT w.lang, sum(size) AS selected FROM walk w JOIN o USING (doc_id) GROUP BY 1)
+    SELECT q.lang, quota, CAST(available AS BIGINT) AS available, CAST(coalesce(selected, 0) AS BIGINT) AS selected,
+           round(coalesce(selected, 0) / sum(coalesce(selected, 0)) OVER (), 6) AS fraction, CAST(quota - coalesce(selected, 0) AS BIGINT) AS shortfall
+    FROM q JOIN a USING (lang) LEFT JOIN s USING (lang)
+""")
+def mixture_greedy_report(spark: SparkSession, d: str) -> DataFrame:
+    """Quota, holding, choice, share and shortfall of each language of the greedy mixture."""
+    docs, quotas = _mix(spark, d)
+    return M.mixture_report(docs, M.mix(docs, quotas, "lang", "doc_id", "n_chars"), quotas, "lang", "n_chars")
+
+
+@query("SELECT 'none' AS fault, 'none' AS subject WHERE FALSE")
+def mixture_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Faults of a mixture with two documents a source at most and redistribution: there must be none."""
+    docs, quotas = _mix(spark, d)
+    made = M.mix(docs, quotas, "lang", "doc_id", "n_chars", family="source", cap=2, redistribute=True)
+    return M.mixture_faults(docs, made, quotas, "lang", "doc_id", "n_chars", "source", 2)
 
 
 @query(f"""

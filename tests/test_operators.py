@@ -1,9 +1,11 @@
+import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from strataline.operators import dedup, graph, near_duplicates, selection, state
+from strataline.operators import dedup, graph, mixture, near_duplicates, selection, state
 
 
 def rows(df):
@@ -119,11 +121,51 @@ def test_largest_remainder_and_quota(spark):
     assert rows(selection.largest_remainder(w.where("k = 'd'"), "k", "w", 10)) == {("d", 0)}
     docs = spark.createDataFrame([("a", k) for k in range(8)] + [("b", 1)], "k string, id int")
     quotas = spark.createDataFrame([("a", 3), ("b", 4)], "k string, quota long")
-    got = selection.quota_select(docs, quotas, "k", [F.col("id")])
-    assert sorted((r["k"], r["id"]) for r in got.collect()) == [("a", 0), ("a", 1), ("a", 2), ("b", 1)]
+    order = sorted(range(8), key=lambda k: hashlib.sha256(str(k).encode()).hexdigest())
+    got = mixture.quota_select(docs, quotas, "k", "id")
+    assert {(r["k"], r["id"], r["rank"]) for r in got.collect()} == {*(("a", x, k + 1) for k, x in enumerate(order[:3])), ("b", 1, 1)}
     assert [(r["k"], r["id"]) for r in selection.round_robin(docs, "k", [F.col("id")], 3).collect()] == [("a", 0), ("b", 1), ("a", 1)]
 
 
+def _walk(records, quotas, cap, redistribute):
+    """The mixture, one record after the other."""
+    order = sorted(records, key=lambda r: hashlib.sha256(r[0].encode()).hexdigest())
+    seen, eligible = {}, []
+    for r in order:
+        f = r[3] if r[3] is not None else ("alone", r[0])
+        seen[f] = seen.get(f, 0) + 1
+        if cap is None or seen[f] <= cap:
+            eligible.append(r)
+    room, out = dict(quotas), {}
+    for k, g, n, _ in eligible:
+        if g in room and n <= room[g]:
+            room[g] -= n
+            out[k] = "quota"
+    left = sum(quotas.values()) - sum(n for k, _, n, _ in records if k in out)
+    for k, g, n, _ in eligible:
+        if redistribute and k not in out and quotas.get(g) and n <= left:
+            left -= n
+            out[k] = "redistributed"
+    return out
+
+
+@pytest.mark.parametrize("cap, redistribute", [(None, False), (2, False), (None, True), (3, True)])
+def test_mixture_matches_a_walk(spark, cap, redistribute):
+    rng = np.random.default_rng(5)
+    records = [(f"r{k}", "abcd"[int(rng.integers(4))], int(rng.choice([1, 3, 40, 200, 900])), [None, f"f{int(rng.integers(25))}"][int(rng.integers(2))]) for k in range(160)]
+    quotas = {"a": 1500, "b": 700, "c": 0, "e": 300}
+    df = spark.createDataFrame([*records, ("bad", "a", 0, None), ("bad2", None, 5, None), (None, "a", 5, None)], "id string, g string, size long, fam string").withColumn("_before", F.lit("clash"))
+    q = spark.createDataFrame(list(quotas.items()), "g string, quota long")
+    got = mixture.mix(df, q, "g", "id", "size", family="fam", cap=cap, redistribute=redistribute)
+    assert {r["id"]: r["chosen"] for r in got.collect()} == _walk(records, quotas, cap, redistribute)
+    assert mixture.mixture_faults(df, got, q, "g", "id", "size", "fam", cap).count() == 0
+    bad = got.unionByName(got.limit(1)).unionByName(got.limit(1).withColumn("id", F.lit("new")))
+    assert {"unknown_record", "repeated_record"} <= {r["fault"] for r in mixture.mixture_faults(df, bad, q, "g", "id", "size", "fam", cap).collect()}
+    report = {r["g"]: r for r in mixture.mixture_report(df, got, q, "g", "size").collect()}
+    assert report["e"]["available"] == 0 and report["e"]["shortfall"] == 300
+    assert mixture.mix(df.limit(0), q, "g", "id", "size").count() == 0
+
+
 def test_vector_search_and_diversity(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((40, 16))
