@@ -281,44 +281,3 @@ def chunk_documents(documents: DataFrame, key: str = "doc_id", limit: int = 2000
             yield pd.DataFrame(rows, columns=[key, "kind", "title_context", "chunk_index", "char_start", "char_end", "text"])
 
     return documents.where("text is not null").select(key, "text").mapInPandas(run, f"`{key}` {key_type}, {_CHUNKS}")
-
-
-# -- line edits -----------------------------------------------------------------------------------------------------
-
-_EDIT = re.compile(r"^(?:rm (\d+)(?:-(\d+))?|sub (\d+):\"((?:[^\"\\]|\\.)*)\"->\"((?:[^\"\\]|\\.)*)\")$")
-
-
-def apply_line_edits(text: str, program: list[str], least_kept: float = 0.5) -> tuple[str, str]:
-    """(text, reason): removes and substitutes lines by a checked program; any fault leaves the text and names a reason.
-
-    ``rm a-b`` removes lines, ``sub n:"old"->"new"`` replaces the one place of a string in a line.
-    """
-    lines = text.split("\n")
-    gone: set[int] = set()
-    subs: dict[int, tuple[str, str]] = {}
-    for step in program:
-        m = _EDIT.match(step.strip())
-        if not m:
-            return text, "syntax"
-        if m[1]:
-            a, b = int(m[1]), int(m[2] or m[1])
-            if not 1 <= a <= b <= len(lines):
-                return text, "range"
-            span = set(range(a, b + 1))
-            if span & gone or span & set(subs):
-                return text, "overlap"
-            gone |= span
-        else:
-            n = int(m[3])
-            old, new = (re.sub(r"\\(.)", r"\1", x) for x in (m[4], m[5]))
-            if not 1 <= n <= len(lines):
-                return text, "range"
-            if n in gone or n in subs:
-                return text, "overlap"
-            if not old or lines[n - 1].count(old) != 1:
-                return text, "ambiguous"
-            subs[n] = old, new
-    out = "\n".join(line.replace(*subs[k]) if k in subs else line for k, line in enumerate(lines, 1) if k not in gone)
-    if len(out) < least_kept * len(text):
-        return text, "retention"
-    return out, ""

@@ -33,6 +33,37 @@ def check_summary(checked: DataFrame) -> DataFrame:
     return checked.select(F.explode("qc_checks").alias("c")).groupBy("c.name", "c.status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def passing(df: DataFrame, checked: DataFrame, key: str) -> DataFrame:
+    """Rows whose checks hold no failure; a row that was not checked does not pass."""
+    return df.join(checked.where("qc_passed").select(key).distinct(), key, "left_semi")
+
+
+def failed_gate(df: DataFrame, results: DataFrame, key: str) -> DataFrame:
+    """(key, name) of the failed checks of rows that are to be published; any row stops the release."""
+    return results.where("status = 'fail'").join(df.select(key).distinct(), key, "left_semi").select(key, "name").distinct()
+
+
+def claimable(tasks: DataFrame, now: Column) -> DataFrame:
+    """Tasks that may run now, with the state they are in.
+
+    A running task whose lease ended waits again, from now. A task is due when it is pending, waiting or deferred, its time
+    has come, and the task it depends on has succeeded; one that depends on an unknown task never is.
+    ``tasks`` has task_uid, kind, status, attempts, dependency_uid, available_at, lease_until and created_at.
+    """
+    expired = F.coalesce((F.col("status") == "running") & (F.col("lease_until") < now), F.lit(False))
+    freed = tasks.withColumn("available_at", F.when(expired, now).otherwise(F.col("available_at"))).withColumn("status", F.when(expired, "retry_wait").otherwise(F.col("status")))
+    due = freed.where(F.col("status").isin("pending", "retry_wait", "deferred") & (F.col("available_at") <= now))
+    done = tasks.where("status = 'succeeded'").select(F.col("task_uid").alias("dependency_uid")).distinct()
+    return due.where("dependency_uid is null").unionByName(due.where("dependency_uid is not null").join(done, "dependency_uid", "left_semi"))
+
+
+def claimed(tasks: DataFrame, now: Column, owner: str, limit: int, lease_seconds: int = 3600) -> DataFrame:
+    """The oldest ``limit`` claimable tasks as they run: one attempt more, an owner and a lease."""
+    first = claimable(tasks, now).orderBy("created_at", "task_uid").limit(limit)
+    lease = now + F.make_interval(secs=F.lit(lease_seconds))
+    return first.withColumn("status", F.lit("running")).withColumn("attempts", F.coalesce("attempts", F.lit(0)) + 1).withColumn("owner", F.lit(owner)).withColumn("lease_until", lease)
+
+
 def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: str, end: str, width: int) -> DataFrame:
     """Pairs of rows with equal ``on`` whose half-open ranges overlap, as (on, l_*, r_*) columns.
 

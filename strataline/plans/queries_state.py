@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metadata as M
 from ..functions.labels import split_label
+from ..functions import rules
 from ..operators import dedup, graph
 from ..operators import state as S
 from ..sources.tables import read_table
@@ -452,3 +453,86 @@ def pricing_summary(spark: SparkSession, d: str) -> DataFrame:
     """Sums by two flags below a date, with the filter in the scan."""
     rows = read_table(spark, d, "lineitem").where("l_shipdate <= timestamp_ntz'1998-09-02 00:00:00'")
     return rows.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count(F.lit(1)).alias("n"))
+
+
+def _report_states(spark: SparkSession, d: str) -> DataFrame:
+    columns = ["document_uid", "asset_uid", "stock_code", "company_name", "report_year", "report_type", "title", "source_name", "language", "raw_file_hash", "publish_date", "work_uid", "updated_at"]
+    rows = dedup.last_wins(read_table(spark, d, "local_documents").select(*columns), "document_uid", "updated_at")
+    return rows.withColumn("announcement_date", F.col("publish_date").cast("string"))
+
+
+_STATES = """
+    s AS (SELECT document_uid, unnest(arg_max(struct_pack(asset_uid, stock_code, company_name, report_year, report_type, title, source_name, language, raw_file_hash, publish_date, work_uid),
+          updated_at)) FROM local_documents GROUP BY 1)
+"""
+_GIVEN = " AND ".join(f"coalesce(CAST({c} AS VARCHAR) <> '', FALSE)" for c in ("document_uid", "asset_uid", "stock_code", "company_name", "report_year", "report_type", "title", "source_name", "language", "raw_file_hash"))
+_TITLED = "TRY_CAST(nullif(regexp_extract(title, '(?:^|[^0-9])(20[0-9]{2})(?:[^0-9]|$)', 1), '') AS INTEGER)"
+
+
+@query(f"""
+    WITH {_STATES}, q AS (SELECT unnest([
+        struct_pack(name := 'metadata_required_fields', ok := {_GIVEN}),
+        struct_pack(name := 'metadata_stock_code_format', ok := coalesce(regexp_matches(stock_code, '^[0-9]{{6}}$'), FALSE)),
+        struct_pack(name := 'metadata_report_type', ok := coalesce(report_type IN ('annual', 'semiannual', 'quarterly', 'research'), FALSE)),
+        struct_pack(name := 'metadata_report_year', ok := coalesce(report_year BETWEEN 1990 AND 2100, FALSE)),
+        struct_pack(name := 'metadata_title_year_consistency', ok := report_year IS NOT NULL AND coalesce({_TITLED} = report_year, TRUE)),
+        struct_pack(name := 'metadata_announcement_date', ok := TRUE),
+        struct_pack(name := 'metadata_raw_hash', ok := coalesce(regexp_matches(raw_file_hash, '^[0-9a-f]{{64}}$'), FALSE))]) AS k FROM s)
+    SELECT k.name AS name, CASE WHEN k.ok THEN 'pass' ELSE 'warn' END AS status, count(*) AS n FROM q GROUP BY 1, 2
+""")
+def metadata_qc_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The hints on the valid metadata of all files."""
+    return S.check_summary(S.checks(_report_states(spark, d), "document_uid", rules.financial_metadata_rules()))
+
+
+@query(f"""
+    WITH {_STATES} SELECT document_uid, coalesce(regexp_matches(stock_code, '^[0-9]{{6}}$'), FALSE) AND coalesce({_TITLED} = report_year, FALSE)
+      AND coalesce(NOT regexp_matches(title, '摘要|英文|取消'), FALSE) AS qc_passed FROM s
+""")
+def candidate_qc(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each file would pass as a discovered report."""
+    rows = _report_states(spark, d).withColumn("source_url", F.lit("https://x.example/y"))
+    return S.checks(rows, "document_uid", rules.candidate_rules()).select("document_uid", "qc_passed")
+
+
+@query("""
+    WITH g AS (SELECT governed_uid, min(work_uid) AS w, min(asset_uid) AS a, min(document_uid) AS p, count(*) AS n, sum(length(text)) AS chars
+               FROM (SELECT DISTINCT governed_uid, work_uid, asset_uid, document_uid, chunk_version_uid, text FROM chunks) GROUP BY 1)
+    SELECT governed_uid, coalesce(governed_uid <> '', FALSE) AND n > 0 AND coalesce(chars > 0, FALSE) AND coalesce(w <> '', FALSE) AND coalesce(a <> '', FALSE) AND coalesce(p <> '', FALSE) AS qc_passed FROM g
+""")
+def governed_document_qc(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each governed document has an id, blocks, text and lineage."""
+    rows = read_table(spark, d, "chunks").select("governed_uid", "work_uid", "asset_uid", "document_uid", "chunk_version_uid", "text").distinct()
+    g = rows.groupBy("governed_uid").agg(F.min("work_uid").alias("work_uid"), F.min("asset_uid").alias("asset_uid"), F.min("document_uid").alias("input_path"), F.count(F.lit(1)).alias("n_blocks"), F.sum(F.length("text")).alias("char_count"))
+    return S.checks(g, "governed_uid", rules.governed_document_rules()).select("governed_uid", "qc_passed")
+
+
+@query(f"""
+    WITH {_QC}, c2 AS (SELECT DISTINCT chunk_version_uid, chunk_index FROM chunks WHERE chunk_index % 2 = 0)
+    SELECT DISTINCT q.chunk_version_uid, q.k.name AS name FROM q JOIN c2 USING (chunk_version_uid) WHERE q.k.status = 'warn'
+""")
+def release_gate(spark: SparkSession, d: str) -> DataFrame:
+    """The warnings of the chunks at even places, read as the failures that would stop their release."""
+    results = _checked(spark, d).select("chunk_version_uid", F.explode("qc_checks").alias("k")).select("chunk_version_uid", "k.name", F.when(F.col("k.status") == "warn", "fail").otherwise(F.col("k.status")).alias("status"))
+    return S.failed_gate(read_table(spark, d, "chunks").where("chunk_index % 2 = 0"), results, "chunk_version_uid")
+
+
+@query("""
+    WITH t AS (SELECT event_id, CASE event_type WHEN 'click' THEN 'pending' WHEN 'view' THEN 'running' WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'succeeded' ELSE 'deferred' END AS status,
+                      CASE WHEN event_id % 3 = 0 THEN event_id - 1 END AS dependency, ts, ts + INTERVAL 6 HOUR AS lease FROM events),
+    n AS (SELECT max(ts) - INTERVAL 5 DAY AS now FROM events)
+    SELECT t.event_id AS task_uid, CASE WHEN t.status = 'running' THEN 'retry_wait' ELSE t.status END AS status
+    FROM t CROSS JOIN n LEFT JOIN t p ON p.event_id = t.dependency
+    WHERE ((t.status = 'running' AND t.lease < now) OR (t.status IN ('pending', 'deferred') AND t.ts <= now)) AND (t.dependency IS NULL OR p.status = 'succeeded')
+""")
+def claimable_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """Events read as tasks: those that may run five days before the last event."""
+    e = read_table(spark, d, "events")
+    now = e.agg(F.max("ts")).first()[0]
+    states = {"click": "pending", "view": "running", "error": "failed", "purchase": "succeeded"}
+    status = F.lit("deferred")
+    for kind, name in states.items():
+        status = F.when(F.col("event_type") == kind, name).otherwise(status)
+    tasks = e.select(F.col("event_id").alias("task_uid"), F.lit("parse").alias("kind"), status.alias("status"), F.lit(0).alias("attempts"), F.when(F.col("event_id") % 3 == 0, F.col("event_id") - 1).alias("dependency_uid"),
+                     F.col("ts").alias("available_at"), (F.col("ts") + F.expr("interval 6 hours")).alias("lease_until"), F.col("ts").alias("created_at"))
+    return S.claimable(tasks, F.lit(now).cast("timestamp_ntz") - F.expr("interval 5 days")).select("task_uid", "status")

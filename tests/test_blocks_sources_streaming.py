@@ -64,13 +64,6 @@ def test_chunks_lie_at_their_offsets():
         assert own[0].split()[-1] in text[c.start : c.start + 20] and own[-1].split()[-1] in text[c.end - 20 : c.end]
 
 
-def test_line_edits():
-    text = "one\ntwo two\nthree\nfour"
-    assert B.apply_line_edits(text, ["rm 1", 'sub 3:"three"->"3"'], 0.1) == ("two two\n3\nfour", "")
-    for program, reason in ((["rm 9"], "range"), (["rm 1-2", "rm 2"], "overlap"), (['sub 2:"two"->"x"'], "ambiguous"), (["go"], "syntax"), (["rm 1-4"], "retention")):
-        assert B.apply_line_edits(text, program) == (text, reason)
-
-
 def test_jsonl_round_trip_and_inventory(spark, tmp_path):
     df = spark.createDataFrame([("b", 1), (None, 2)], "z string, a int")
     P.write_jsonl(df, str(tmp_path / "pack" / "rows"))
