@@ -198,7 +198,8 @@ def sample_tokens(quality_report: DataFrame, corpus: DataFrame, path: str = PIEC
 
     The latest report of a sample holds. A positive reported count is trusted if its ratio to the estimate is
     within TRUST of the median ratio of its tokenizer and language; else the estimate, scaled by that median,
-    stands for it. Without a text the reported count stands, if positive, and else 0.
+    stands for it. Without a text the reported count stands, if positive, and else 0. Texts are counted where they lie:
+    a row delivered twice is counted twice before it is dropped, which costs less than moving all texts first.
     """
     columns = ["sample_id", "reported_at", "source_name", "language", "domain", "token_count"]
     states = latest(quality_report.where("sample_id is not null").select(*columns), "sample_id", "reported_at")
@@ -245,11 +246,10 @@ def coverage(samples: DataFrame, coverage_targets: DataFrame) -> DataFrame:
         "source_name", "language", "domain", "min_share",
         label(any_(F.col("source_name"))).alias("s"), language_label(any_(F.col("language"))).alias("l"), label(any_(F.col("domain"))).alias("d"),
     )
-    everything = totals.where("source_name = '*' and language = '*' and domain = '*'").select(F.col("source_name").alias("any"), F.col("tokens").alias("all_tokens"))
+    everything = totals.where("source_name = '*' and language = '*' and domain = '*'").select(F.sum("tokens")).scalar()
     slices = totals.select(F.col("source_name").alias("s"), F.col("language").alias("l"), F.col("domain").alias("d"), "tokens")
-    share = F.coalesce(F.col("tokens") / F.nullif("all_tokens", F.lit(0)), F.lit(0.0))
-    found = targets.join(slices, ["s", "l", "d"], "left").withColumn("any", F.lit("*"))
-    return found.join(F.broadcast(everything), "any", "left").select(  # one row
+    share = F.coalesce(F.col("tokens") / F.nullif(everything, F.lit(0)), F.lit(0.0))
+    return targets.join(slices, ["s", "l", "d"], "left").select(
         "source_name", "language", "domain", "min_share",
         F.coalesce("tokens", F.lit(0)).alias("tokens"), share.alias("share"), F.coalesce(share < F.col("min_share"), F.lit(False)).alias("too_little"),
     )

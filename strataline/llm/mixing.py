@@ -53,22 +53,22 @@ def _bucket(level: int) -> F.Column:
     return F.shiftrightunsigned("h", 64 - BITS * (level + 1)).bitwiseAND(F.lit((1 << BITS) - 1))
 
 
-def _thresholds(texts: DataFrame, budgets: dict[str, float]) -> dict[str, int]:
-    """For each source the number of leading hash values, in units of the last level, that its budget covers."""
+def _thresholds(texts: DataFrame, budgets: dict[int, tuple[str, float]]) -> dict[int, int]:
+    """For each target, of a source, the number of leading hash values, in units of the last level, that its budget covers."""
     spark = texts.sparkSession
     prefix = dict.fromkeys(budgets, 0)
-    left = dict(budgets)
+    left = {no: budget for no, (_, budget) in budgets.items()}
     for level in range(LEVELS):
-        open_ones = [(k, prefix[k]) for k in prefix if left[k] > 0]
+        open_ones = [(budgets[k][0], k, prefix[k]) for k in prefix if left[k] > 0]
         if not open_ones:
             return {k: p << BITS * (LEVELS - level) for k, p in prefix.items()}
-        edge = F.broadcast(spark.createDataFrame(open_ones, "key string, prefix long"))  # one row per target source
+        edge = F.broadcast(spark.createDataFrame(open_ones, "key string, target int, prefix long"))  # one row per target
         inside = texts.join(edge, "key")
         if level:
             inside = inside.where(F.shiftrightunsigned("h", 64 - BITS * level) == F.col("prefix"))
-        sums: dict[str, dict[int, int]] = {}
-        for r in inside.groupBy("key", _bucket(level).alias("b")).agg(F.sum("tokens").alias("n")).collect():  # sources x 2**BITS rows
-            sums.setdefault(r["key"], {})[r["b"]] = r["n"]
+        sums: dict[int, dict[int, int]] = {}
+        for r in inside.groupBy("target", _bucket(level).alias("b")).agg(F.sum("tokens").alias("n")).collect():  # targets x 2**BITS rows
+            sums.setdefault(r["target"], {})[r["b"]] = r["n"]
         for key in prefix:
             here, b = sums.get(key, {}), 0
             if left[key] > 0:
@@ -100,16 +100,16 @@ def plan_mix(documents: DataFrame, mix_targets: DataFrame, vocabulary: str = RAN
     texts = stage(sized.join(F.broadcast(names), "key").groupBy("key", "h", "h2").agg(F.min("doc_id").alias("doc_id"), F.max("tokens").alias("tokens")))
     held = {r["key"]: r["n"] for r in texts.groupBy("key").agg(F.sum("tokens").alias("n")).collect()}  # one row per target source
     budgets = {}
-    for p in plan:
+    for target, p in enumerate(plan):
         p["tokens"] = held.get(p["key"], 0) or 0
         p["wanted"] = p["share"] * p["size"] * total
         p["short"] = p["tokens"] * p["uses"] < p["wanted"]
         p["whole"] = p["uses"] if p["short"] or not p["tokens"] else int(p["wanted"] // p["tokens"])
         p["rest"] = 0.0 if p["short"] else p["wanted"] - p["whole"] * p["tokens"]
-        budgets[p["key"]] = p["rest"] if p["whole"] < p["uses"] else 0.0
+        budgets[target] = p["key"], p["rest"] if p["whole"] < p["uses"] else 0.0
     bounds = _thresholds(texts, budgets)
-    for p in plan:
-        p["bound"] = bounds[p["key"]]
+    for target, p in enumerate(plan):
+        p["bound"] = bounds[target]
     return texts, plan
 
 
@@ -133,10 +133,10 @@ def mixture_report(documents: DataFrame, mix_targets: DataFrame, vocabulary: str
     spark = documents.sparkSession
     columns = "key string, source string, wanted double, whole int, bound long, short boolean"
     table = spark.createDataFrame([(p["key"], p["source"], p["wanted"], p["whole"], p["bound"], p["short"]) for p in plan], columns)
-    used = texts.join(F.broadcast(table.select("key", "whole", "bound").distinct()), "key").select("key", (F.col("tokens") * (F.col("whole") + (high < F.col("bound")).cast("int"))).alias("n"))
-    reached = used.groupBy("key").agg(F.sum("n").alias("n"))
+    used = texts.join(F.broadcast(table.select("key", "source", "whole", "bound")), "key").select("key", "source", (F.col("tokens") * (F.col("whole") + (high < F.col("bound")).cast("int"))).alias("n"))
+    reached = used.groupBy("key", "source").agg(F.sum("n").alias("n"))
     whole_mix = sum(p["wanted"] for p in plan)
-    return table.join(F.broadcast(reached), "key", "left").select(
+    return table.join(F.broadcast(reached), ["key", "source"], "left").select(
         "source",
         F.round("wanted").cast("bigint").alias("wanted_tokens"),
         F.coalesce("n", F.lit(0)).alias("reached_tokens"),

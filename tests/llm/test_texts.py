@@ -241,6 +241,9 @@ def test_mixture(spark):
     assert report["none"]["short"] and not report["nul"]["short"] and report["C "]["short"] and not report["A"]["short"]
     for s, share in (("A", 0.5), ("b", 0.1)):
         assert abs(report[s]["reached_tokens"] - share * 0.4 * total) <= 60
+    twice = spark.createDataFrame([("A", 0.5, 1, 0.4), (" a", 0.2, 1, 0.4)], "source string, target_share double, max_repeats int, mix_size_share double")
+    got = {r["source"]: r["reached_tokens"] for r in mixing.mixture_report(df, twice).collect()}
+    assert abs(got["A"] - 0.2 * total) <= 60 and abs(got[" a"] - 0.08 * total) <= 60  # two targets of one source keep their own budgets
     used = mixing.mixture(df, t).collect()
     for r in used:
         assert 1 <= r["uses"] <= {"A": 1, "b": 2, "C ": 2}[r["source"]]
