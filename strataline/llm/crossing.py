@@ -21,7 +21,7 @@ from ..plans.stage import stage
 from .text import LEAST_CHARS, mix64, normalized, sha256_hex, window_sets
 
 THRESHOLD = 0.8
-ROWS, BANDS = 7, 50
+ROWS, BANDS = 6, 36
 EVALUATION = ("validation", "test")
 
 _FILL = (mix64(np.arange(ROWS * BANDS * 64, dtype=np.uint64)).reshape(64, -1) % np.uint64(ROWS * BANDS)).astype(np.int64)
