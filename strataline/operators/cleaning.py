@@ -19,11 +19,11 @@ IMAGE_LINK = re.compile(r"!\[[^\]]*\]\([^)]*\)")
 RUN_TOGETHER = re.compile(
     r"(?i)(?<![a-z])([a-z]{4,}(?:ment|ance|tion|sion|ness|ing|ies|es))((?:of|the|and|to|in|on|for|with|by|from|their|our|its|a|an){1,6})"
 )
-# Joined words as read, with the place of the lost blank.
-JOINED = """
-the|concept the|strategies the|establishment the|company the|financial the|impact the|current the|future of|our of|the and|the in|the for|the to|the by|the
-from|the with|the are|not is|not
-""".split()
+# Pairs of words that are often read as one.
+WORD_PAIRS = """
+the concept, the strategies, the establishment, the company, the financial, the impact, the current, the future, of our, of the, and the, in the, for the,
+to the, by the, from the, with the, are not, is not
+""".strip().replace("\n", " ").split(", ")
 #: Content types of which a repeated text is kept once.
 ONCE = ("paragraph", "reference", "footnote", "algorithm")
 
@@ -31,8 +31,8 @@ ONCE = ("paragraph", "reference", "footnote", "algorithm")
 def split_joined_words(text: str) -> str:
     """Blanks put back between words that recognition ran together."""
     text = RUN_TOGETHER.sub(r"\1 \2", text)
-    for pair in JOINED:
-        text = text.replace(pair.replace("|", ""), pair.replace("|", " "))
+    for pair in WORD_PAIRS:
+        text = text.replace(pair.replace(" ", ""), pair)
     return text
 
 
