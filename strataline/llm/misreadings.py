@@ -33,6 +33,8 @@ LEAST_GAIN = 4
 STRONG = 64
 #: A misreading must be seen in this many words or surroundings, and in this share of the common words it may befall.
 LEAST_TYPES, LEAST_COVER = 3, 0.1
+#: Counts of more keys than these are divided down to as many in all: what is rare or common does not hang on the size of the corpus.
+REFERENCE = 16_000_000
 LOST = "�"
 
 _HAN = "㐀-鿿"
@@ -80,7 +82,10 @@ def _is_han(c: str) -> bool:
 
 
 def key_counts(chunks: DataFrame) -> DataFrame:
-    """(key, n): how often each key occurs; also pairs of neighbours (2 before, 1 after) and, as often as never, the words that broken ones would make."""
+    """(key, n): how often each key occurs; also pairs of neighbours (2 before, 1 after) and, as often as never, the words that broken ones would make.
+
+    All keys are counted. In a corpus of more than ``REFERENCE`` of them, ``n`` is the count for so many, with fractions.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
@@ -95,9 +100,11 @@ def key_counts(chunks: DataFrame) -> DataFrame:
             yield pd.DataFrame({"key": list(seen), "n": list(seen.values())})
 
     counted = stage(chunks.where("text is not null").select("text").mapInPandas(run, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n")))
+    size = max(1.0, (counted.agg(F.sum("n")).first()[0] or 0) / REFERENCE)
+    counted = counted.select("key", (F.col("n") / F.lit(size)).alias("n"))
     around = counted.where("key like '3%'")
     near = around.select(F.concat(F.lit("2"), F.substring("key", 2, 2)).alias("key"), "n").unionByName(around.select(F.concat(F.lit("1"), F.substring("key", 3, 2)).alias("key"), "n"))
-    whole = counted.where("key like 'j%'").select(F.concat(F.lit("w"), F.regexp_replace(F.substring("key", 2, 1 << 30), "\t.\t", "")).alias("key"), F.lit(0).cast("bigint").alias("n"))
+    whole = counted.where("key like 'j%'").select(F.concat(F.lit("w"), F.regexp_replace(F.substring("key", 2, 1 << 30), "\t.\t", "")).alias("key"), F.lit(0.0).alias("n"))
     return stage(counted.unionByName(near).unionByName(whole).groupBy("key").agg(F.sum("n").alias("n")))
 
 
@@ -106,14 +113,14 @@ def with_levels(rows: DataFrame, counts: DataFrame, asked: list[Column]) -> Data
     columns = rows.columns
     spread = rows.distinct().select(*columns, F.posexplode(F.array(*asked)).alias("_at", "_key"))
     counted = counts.select(F.col("key").alias("_key"), F.col("n").alias("_n"))
-    entry = F.struct("_at", F.coalesce("_n", F.lit(0)).alias("n"))
+    entry = F.struct("_at", F.coalesce("_n", F.lit(0.0)).alias("n"))
     met = spread.join(counted, "_key", "left").groupBy(*columns).agg(F.sort_array(F.collect_list(entry)).alias("_l"))  # as many entries as keys asked for
     return met.select(*columns, F.col("_l.n").alias("levels"))
 
 
-def level(n: int) -> int:
-    """About twice the binary logarithm of a count; 0 for none."""
-    return int(2 * math.log2(n)) if n > 0 else 0
+def level(n: float) -> int:
+    """About twice the binary logarithm of a count; 0 for none and for fractions of one."""
+    return int(2 * math.log2(n)) if n > 1 else 0
 
 
 # -- pairs --------------------------------------------------------------------------------------------------------
@@ -154,9 +161,9 @@ def _gaps(words: DataFrame) -> DataFrame:
             for i, w, n in zip(pdf["id"], pdf["word"], pdf["n"]):
                 h = _Hashed(w)
                 rows += [(h.replaced(k, g, [1]), i, n, k, w[k : k + g]) for g in (1, 2) for k in range(len(w) - g + 1) if len(w) > g + (g == 2)]
-            yield pd.DataFrame(rows, columns=["gap", "id", "n", "at", "part"]).astype({"gap": "int64", "id": "int64", "n": "int64", "at": "int32"})
+            yield pd.DataFrame(rows, columns=["gap", "id", "n", "at", "part"]).astype({"gap": "int64", "id": "int64", "n": "float64", "at": "int32"})
 
-    return words.mapInPandas(run, "gap bigint, id bigint, n bigint, at int, part string")
+    return words.mapInPandas(run, "gap bigint, id bigint, n double, at int, part string")
 
 
 def _words(counts: DataFrame) -> DataFrame:
@@ -289,11 +296,11 @@ def _two_edits(counts: DataFrame, open_words: DataFrame, known: dict[tuple[str,
                         for a, b in by_first.get(c, ()):
                             if w.startswith(a, k):
                                 rows.append((h.replaced(k, len(a), [ord(x) + 2 for x in b]), i, n, k, a, b))
-                yield pd.DataFrame(rows, columns=["middle", "id", "n", "at", "a", "b"]).astype({"middle": "int64", "id": "int64", "n": "int64", "at": "int32"})
+                yield pd.DataFrame(rows, columns=["middle", "id", "n", "at", "a", "b"]).astype({"middle": "int64", "id": "int64", "n": "float64", "at": "int32"})
 
         return run
 
-    schema = "middle bigint, id bigint, n bigint, at int, a string, b string"
+    schema = "middle bigint, id bigint, n double, at int, a string, b string"
     words = _words(counts)
     there = open_words.mapInPandas(half(True), schema).withColumnsRenamed({"a": "wrong", "b": "right"})
     back = words.where(f"n >= {STRONG}").mapInPandas(half(False), schema).select("middle", F.col("id").alias("of"), F.col("n").alias("m"), F.col("at").alias("at2"), "a", "b")
@@ -312,9 +319,9 @@ def _best(pairs: DataFrame, model: AveragedPerceptron, known: dict[tuple[str, st
                 op, score = model.predict(edit_features(word, at, wrong, right, level(n), level(m), steps, known.get((wrong, right), (0, 0.0))))
                 if op != "keep" and score > 0:
                     out.append((word, score, m, other))
-            yield pd.DataFrame(out, columns=["word", "score", "m", "other"]).astype({"score": "float64", "m": "int64"})
+            yield pd.DataFrame(out, columns=["word", "score", "m", "other"]).astype({"score": "float64", "m": "float64"})
 
-    scored = pairs.select("word", "n", "at", "wrong", "right", "other", "m").mapInPandas(run, "word string, score double, m bigint, other string")
+    scored = pairs.select("word", "n", "at", "wrong", "right", "other", "m").mapInPandas(run, "word string, score double, m double, other string")
     return scored.groupBy("word").agg(F.max(F.struct("score", "m", "other")).alias("best")).select("word", F.col("best.other").alias("to"))
 
 

@@ -234,12 +234,16 @@ def rebuilt(flat: str, changed: dict[str, str]) -> str:
 
 
 def clean_sample(chunks: DataFrame, limit: int = SAMPLE) -> list[tuple[str, int | None, str, str]]:
-    """The chunks of the least hashes, at most ``limit``, whose layout has nothing beside a title and a text."""
+    """The chunks of the least hashes, at most ``limit``, whose layout has nothing beside a title and a text.
+
+    A chunk that was delivered several times counts once, however often its rows are repeated.
+    """
     rows = chunks.where("text is not null and chunk_version_uid is not null and size(block_labels) <= 2 and not contains(text, '�')")
-    picked = rows.select("chunk_version_uid", "text", "page", F.coalesce("title_context", F.lit("")).alias("title"), F.coalesce("content_type", F.lit("")).alias("kind"))
-    # A chunk that was delivered twice has one hash; the few repeats among the least ones fall away here.
-    found = picked.orderBy(F.xxhash64("chunk_version_uid"), "chunk_version_uid").limit(limit).toLocalIterator()
-    return list({r["chunk_version_uid"]: (r["text"], r["page"], r["title"], r["kind"]) for r in found}.values())
+    order = F.xxhash64("chunk_version_uid"), F.col("chunk_version_uid")
+    picked = rows.select("chunk_version_uid").distinct().orderBy(*order).limit(limit)
+    one = F.struct("text", "page", F.coalesce("title_context", F.lit("")).alias("title"), F.coalesce("content_type", F.lit("")).alias("kind"))
+    found = rows.join(F.broadcast(picked), "chunk_version_uid").groupBy("chunk_version_uid").agg(F.min(one).alias("one")).orderBy(*order)
+    return [tuple(r["one"]) for r in found.toLocalIterator()]
 
 
 _COLUMNS = ["chunk_version_uid", "text", "page", "title_context", "content_type"]

@@ -226,6 +226,26 @@ def test_misreadings_are_learnt_from_the_corpus(spark):
     assert {r["other"] for r in two.collect()} == {"common"}
 
 
+def test_misreadings_of_a_larger_corpus(spark, monkeypatch):
+    """A corpus repeated many times teaches what it teaches once: its rare words do not become common ones."""
+    words = ["market", "meeting", "margin", "summer", "common", "member", "amount", "number", "formal", "damage"]
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(120)]
+    texts[5] += " " + " ".join(w.replace("m", "w3", 1) for w in words[:8])
+    texts[7] += " " + " ".join("m" + "".join(rng.choice("abcdefghik") for _ in range(9)) for _ in range(150))
+    df = spark.createDataFrame([(f"u{k}", t) for k, t in enumerate(texts)], "chunk_version_uid string, text string")
+    monkeypatch.setattr(misreadings, "REFERENCE", sum(len(misreadings.keys(t)) for t in texts), raising=False)
+    for repeats in (1, 64):
+        counts = misreadings.key_counts(df.crossJoin(spark.range(repeats)))
+        assert set(misreadings.word_misreadings(misreadings.word_pairs(counts), counts)) == {("w3", "m")}
+
+
+def test_sample_of_repeated_chunks(spark):
+    """Chunks that stand in the table many times do not crowd others out of the sample."""
+    df = spark.createDataFrame([(f"u{k}", f"text {k}", k, None, None, ["text"]) for k in range(12)], "chunk_version_uid string, text string, page int, title_context string, content_type string, block_labels array<string>")
+    assert sorted(x[0] for x in repair.clean_sample(df.crossJoin(spark.range(30)).drop("id"), 12)) == sorted(f"text {k}" for k in range(12))
+
+
 # -- 8: mixture ---------------------------------------------------------------------------------------------------
 
 
