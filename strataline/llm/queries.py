@@ -116,7 +116,7 @@ def p8_mix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, d: str) -> DataFrame:
-    return stuffing.page_scores(read_table(spark, d, "documents"), stuffing.prose_sample(read_table(spark, d, "corpus")))
+    return stuffing.page_scores(read_table(spark, d, "documents"), stuffing.prose_texts(read_table(spark, d, "corpus")))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

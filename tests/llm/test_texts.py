@@ -308,3 +308,24 @@ def test_stuffed_pages(spark):
     assert stuffing.page_scores(df.where("doc_id = 10"), []).count() == 1
     corpus = spark.createDataFrame([("a", "t1", "accepted"), ("a", "t1", "accepted"), ("b", None, "accepted"), ("c", "t2", "pending")], "sample_id string, text string, status string")
     assert stuffing.prose_sample(corpus) == ["t1"]
+
+
+def test_prose_model_reads_the_whole_corpus(spark):
+    """Counts and limits are those of all accepted texts, however many, and of one plain pass over them."""
+    rng = random.Random(6)
+    texts = [_prose(rng, 1 + k % 3) + (f" Only{''.join(chr(97 + int(x)) for x in str(k))} said so." if k % 50 == 0 else "") for k in range(4200)] + [" \n", "贷款与保险的报告已于年内完成。" * 3]
+    corpus = spark.createDataFrame([(f"s{k}", t, "accepted") for k, t in enumerate(texts)] + [("x", "Never read.", "rejected")], "sample_id string, text string, status string")
+    assert len(stuffing.prose_sample(corpus)) == len(texts)
+    model = stuffing.trained(stuffing.prose_texts(corpus).repartition(7))
+    c, part, word, *_ = stuffing.read(texts, stuffing._Tokens())
+    a, b = stuffing._before(c, part)
+    keys, n = np.unique((a * model.k + b) * model.k + c, return_counts=True)
+    plain = stuffing.ProseModel(dict(zip(keys.tolist(), n.tolist())), len(np.unique(word[word >= 0])))
+    assert (model.keys == keys).all() and np.allclose(model.p3, plain.p3) and np.allclose(model.p2, plain.p2) and model.words == plain.words
+    surprise = np.bincount(part, -np.log(plain.probability(c, part))) / np.bincount(part)
+    assert math.isclose(model.high, math.exp(np.quantile(surprise, stuffing.PROSE_SHARE)) * stuffing.MARGIN, rel_tol=2e-4)
+    assert len(model.low[False][0]) == len(stuffing.CHAINS) and len(model.low[True][0]) == 1
+    rows = plain.shown(texts[:67])
+    assert [sum(n for k, _, n, _ in rows if k == size) for size in stuffing.CHAINS] == [67, 33, 16, 8, 4, 2]
+    empty = stuffing.trained(stuffing.prose_texts(corpus.limit(0)))
+    assert empty.high == math.inf and not empty.low[False][1].any()
